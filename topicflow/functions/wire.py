@@ -29,6 +29,12 @@ def decode_long(value: Column) -> Column:
 
 
 def epoch_micros(timestamp_ntz: Column) -> Column:
-    """Microseconds since 1970-01-01 for a zone-less timestamp, in any session zone."""
-    epoch = F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00"))
-    return F.timestamp_diff("MICROSECOND", epoch, timestamp_ntz)
+    """Microseconds since 1970-01-01 for a zone-less timestamp.
+
+    Put together from the date and the clock fields, so that the session zone and its
+    clock changes have no part in it.
+    """
+    seconds = F.hour(timestamp_ntz) * 3600 + F.minute(timestamp_ntz) * 60
+    micros = (F.extract(F.lit("SECOND"), timestamp_ntz) * 1_000_000).cast("bigint")
+    days = F.unix_date(timestamp_ntz.cast("date")).cast("bigint")
+    return days * 86_400_000_000 + seconds.cast("bigint") * 1_000_000 + micros

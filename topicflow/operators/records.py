@@ -62,27 +62,23 @@ PROMOTIONS = {
 }
 
 
-def _default(f: T.StructField) -> Column:
-    return F.lit(f.metadata["default"]).cast(f.dataType)
+def _value(df: DataFrame, f: T.StructField) -> Column:
+    """The field as written; null where the rows do not have it."""
+    return (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
 
 
-def _required(record: T.StructType) -> list[T.StructField]:
-    return [f for f in record.fields if "default" not in f.metadata]
+def _is_required(f: T.StructField) -> bool:
+    return "default" not in f.metadata
 
 
-def _missing_required(df: DataFrame, record: T.StructType) -> Column:
-    """True for rows in which a required field is null (a field that is absent is null too)."""
-    missing = F.lit(False)
-    for f in _required(record):
-        missing = missing | (F.col(f.name).isNull() if f.name in df.columns else F.lit(True))
-    return missing
+def _default(f: T.StructField) -> Column:
+    return F.lit(f.metadata["default"]).cast(f.dataType)
 
 
-def _completed(df: DataFrame, f: T.StructField) -> Column:
-    if f.name not in df.columns:
-        return _default(f).alias(f.name)
-    value = F.col(f.name).cast(f.dataType)
-    return (F.coalesce(value, _default(f)) if "default" in f.metadata else value).alias(f.name)
+def _missing_fields(df: DataFrame, record: T.StructType) -> Column:
+    """Names of the required fields that are null in a row."""
+    missing = [F.when(_value(df, f).isNull(), F.lit(f.name)) for f in record.fields if _is_required(f)]
+    return F.array_compact(F.array(*missing))
 
 
 def complete_records(df: DataFrame, record: T.StructType, strict: bool = False) -> DataFrame:
@@ -91,29 +87,23 @@ def complete_records(df: DataFrame, record: T.StructType, strict: bool = False)
     Rows that lack a required field are left to :func:`rejected_records`, or stop the
     job when ``strict`` is set.  The result has the record's columns in its order.
     """
-    missing = _missing_required(df, record)
-    if not strict:
-        return df.where(~missing).select([_completed(df, f) for f in record.fields])
-    checked = []
+    columns = []
     for f in record.fields:
-        value = _completed(df, f) if f.name in df.columns or "default" in f.metadata else F.lit(None).cast(f.dataType)
-        if "default" not in f.metadata:
+        value = _value(df, f)
+        if not _is_required(f):
+            value = F.coalesce(value, _default(f))
+        elif strict:
             value = F.coalesce(value, F.raise_error(F.lit(f"field {f.name} is required")).cast(f.dataType))
-        checked.append(value.alias(f.name))
-    return df.select(checked)
+        else:
+            df = df.where(value.isNotNull())
+        columns.append(value.alias(f.name))
+    return df.select(columns)
 
 
 def rejected_records(df: DataFrame, record: T.StructType) -> DataFrame:
     """The rows :func:`complete_records` leaves out, unchanged, with the missing field names."""
-    names = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f.name).isNull() if f.name in df.columns else F.lit(True), F.lit(f.name))
-                for f in _required(record)
-            ]
-        )
-    )
-    return df.where(_missing_required(df, record)).withColumn("missing", F.array_join(names, ","))
+    rows = df.withColumn("missing", F.array_join(_missing_fields(df, record), ","))
+    return rows.where(F.col("missing") != "")
 
 
 def project_records(df: DataFrame, reader: T.StructType) -> DataFrame:
@@ -125,7 +115,7 @@ def project_records(df: DataFrame, reader: T.StructType) -> DataFrame:
     columns = []
     for f in reader.fields:
         if f.name not in df.columns:
-            if "default" not in f.metadata:
+            if _is_required(f):
                 raise ValueError(f"required field {f.name} is not in the written record")
             columns.append(_default(f).alias(f.name))
             continue
