@@ -11,7 +11,7 @@ def spark(tmp_path_factory):
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="3",
     )
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
