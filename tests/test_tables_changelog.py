@@ -10,7 +10,7 @@ from topicflow.operators.running import running
 from topicflow.operators.tokens import space_tokens
 from topicflow.plans import flows
 
-SLOTS = [{}, {"slot_bits": 1}, {"slot_bits": 2, "levels": 3}, {"levels": 0}]
+SLOTS = [{}, {"slot_bits": 1}, {"slot_bits": 1, "hot_rows": 2}, {"levels": 0}]
 PROPERTY = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -90,7 +90,13 @@ def test_running_against_brute_force_with_a_hot_key(spark, before, combine):
         state[k] = v if old is None else fold(old, v)
         expected.add((k, seq, tie, v, old if before else state[k]))
 
-    for slots in SLOTS + [{"slot_bits": 5}, {"slot_bits": 0, "levels": 1}]:
+    for slots in SLOTS + [
+        {"slot_bits": 2, "levels": 3},
+        {"slot_bits": 5},
+        {"slot_bits": 0, "levels": 1},
+        {"slot_bits": 5, "hot_rows": 150},
+        {"slot_bits": 3, "hot_rows": 10**6},
+    ]:
         found = running(
             df, ["k"], "seq", F.col("v"), getattr(F, combine), "out", ties=["tie"], before=before, initial=initial, **slots
         )

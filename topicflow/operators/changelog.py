@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from topicflow.operators.running import combined, running
+from topicflow.operators.running import HOT_ROWS, combined, running
 from topicflow.operators.tables import event_rank
 
 
@@ -47,12 +47,15 @@ def running_balance(
     timestamp: str = "timestamp",
     seq: str = "seq",
     initial: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
     **slots: int,
 ) -> DataFrame:
     """The account record after each event, unchanged where the event was late."""
     rows = df.where(F.col(key).isNotNull()).select(key, seq, id, amount, timestamp)
     newest = _winning_event(timestamp, seq, amount)
-    return running(rows, [key], seq, newest, F.max, "_newest", initial=initial, **slots).select(
+    return running(
+        rows, [key], seq, newest, F.max, "_newest", initial=initial, hot_rows=hot_rows, **slots
+    ).select(
         key,
         seq,
         id,
@@ -82,6 +85,7 @@ def value_changes(
     value: str = "value",
     seq: str = "seq",
     initial: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
     **slots: int,
 ) -> DataFrame:
     """What each update does to the count of keys per value: (seq, step, value, delta).
@@ -91,7 +95,16 @@ def value_changes(
     """
     rows = _valued(df, key, value).select(key, seq, value)
     steps = running(
-        rows, [key], seq, _arrived(seq, value), F.max, "_old", before=True, initial=initial, **slots
+        rows,
+        [key],
+        seq,
+        _arrived(seq, value),
+        F.max,
+        "_old",
+        before=True,
+        initial=initial,
+        hot_rows=hot_rows,
+        **slots,
     )
     old = F.col("_old.value")
     change = F.array(
@@ -125,7 +138,13 @@ def count_changes_state(changes: DataFrame, value: str = "value") -> DataFrame:
 
 
 def running_value_count(
-    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", out: str = "n", **slots: int
+    df: DataFrame,
+    key: str = "key",
+    value: str = "value",
+    seq: str = "seq",
+    out: str = "n",
+    hot_rows: int = HOT_ROWS,
+    **slots: int,
 ) -> DataFrame:
     """How many keys have the value after each update: (seq, step, value, n)."""
-    return count_changes(value_changes(df, key, value, seq, **slots), value, seq, out, **slots)
+    return count_changes(value_changes(df, key, value, seq, hot_rows=hot_rows, **slots), value, seq, out, **slots)

@@ -8,6 +8,14 @@ by the same function again with slots of slots.  As a sequence number belongs to
 record, a slot holds at most ``2**SLOT_BITS`` records whatever the data look like, and
 so does the level above it; two levels leave one row per 2**32 sequence numbers.
 
+Which keys to cut is the caller's choice:
+
+* all of them, where keys repeat so much that a slot has far fewer keys than rows
+  (words, colours): one extra pass over the input;
+* only keys with more than ``hot_rows`` rows, where most keys are rare (accounts,
+  users): a count per key first, and then the rare keys' rows are shuffled once, as
+  with a plain window.
+
 Slots are computed from the sequence number alone, so a task that is run again after
 an executor loss puts every row in the same slot.
 """
@@ -20,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SLOT_BITS = 16
 LEVELS = 2
+HOT_ROWS = 1 << 20
 
 
 def running(
@@ -32,29 +41,42 @@ def running(
     ties: Sequence[str] = (),
     before: bool = False,
     initial: DataFrame | None = None,
+    hot_rows: int | None = None,
     slot_bits: int = SLOT_BITS,
     levels: int = LEVELS,
 ) -> DataFrame:
     """Add ``out``: ``combine`` of ``value`` over the key's rows up to this one.
 
-    ``seq`` must be an integer column; ``ties`` order rows within one sequence number.
+    ``seq`` must be an integer column without nulls; ``ties`` order rows within one sequence number.
     ``combine`` is ``F.sum`` or ``F.max`` (or anything else that can combine its own
     results and skips nulls).  With ``before`` the current row is left out, and the
     first row of a key gets null.  ``initial`` holds what a key starts from: one row
     per key, the keys and a column ``state``.
     """
-    columns = df.columns
-    rows = df.withColumn("_value", value).withColumn("_row", F.lit(True))
+    columns, keys = df.columns, list(keys)
+    rows = df.withColumn("_value", value)
 
     if levels == 0:
-        groups = list(keys)
+        groups = keys
         starts = initial and initial.select(*keys, F.col("state").alias("_value"))
     else:
         slot = f"_slot{levels}"
         groups = [*keys, slot]
-        rows = rows.withColumn(slot, F.shiftright(F.col(seq), slot_bits))
+        cut, cold_starts = rows, None
+        number = F.shiftright(F.col(seq), slot_bits)
+        if hot_rows is None:
+            cut = rows = rows.withColumn(slot, number)
+        else:
+            hot = _hot_keys(df, keys, hot_rows)
+            rows = rows.join(hot, keys, "left").withColumn(slot, F.when(F.col("_hot"), number).otherwise(F.lit(0)))
+            cut = rows.where("_hot")
+            if initial is not None:
+                cold_starts = initial.join(hot, keys, "left_anti").select(
+                    *keys, F.lit(0).cast("bigint").alias(slot), F.col("state").alias("_value")
+                )
+                initial = initial.join(hot, keys, "left_semi")
         inherited = running(
-            combined(rows, groups, F.col("_value"), combine),
+            combined(cut, groups, F.col("_value"), combine),
             keys,
             slot,
             F.col("state"),
@@ -66,16 +88,27 @@ def running(
             levels=levels - 1,
         )
         starts = inherited.where(F.col("_inherited").isNotNull()).select(*groups, F.col("_inherited").alias("_value"))
+        if cold_starts is not None:
+            starts = starts.unionByName(cold_starts)
 
-    if starts:
-        # what a group starts from enters its window as an extra first row
-        rows = rows.unionByName(starts.withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    if starts is not None:
+        # what a group starts from enters its window as an extra row without a sequence number
+        rows = rows.unionByName(starts, allowMissingColumns=True)
     order = (
         Window.partitionBy(*groups)
-        .orderBy("_row", seq, *ties)
+        .orderBy(F.asc_nulls_first(seq), *ties)
         .rowsBetween(Window.unboundedPreceding, -1 if before else Window.currentRow)
     )
-    return rows.withColumn(out, combine(F.col("_value")).over(order)).where("_row").select(*columns, out)
+    return rows.withColumn(out, combine(F.col("_value")).over(order)).where(F.col(seq).isNotNull()).select(*columns, out)
+
+
+def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, marked for broadcast.
+
+    There are fewer than rows / ``hot_rows`` of them, about a million for 10**12 rows.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return F.broadcast(counts.where(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias("_hot")))
 
 
 def combined(df: DataFrame, keys: Sequence[str], value: Column, combine: Callable[[Column], Column]) -> DataFrame:
