@@ -94,7 +94,7 @@ def test_arrival_order_is_total_and_follows_offsets(topic):
 
 def test_spread(spark):
     df = spark.range(0, 100, 1, 2)
-    assert topics.spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert topics.spread(df).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 32)
     assert topics.spread(many).rdd.getNumPartitions() == 32
     assert topics.spread(df, 3).rdd.getNumPartitions() == 3

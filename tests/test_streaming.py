@@ -152,6 +152,25 @@ def test_favourite_colour_keeps_zero_across_a_restart(spark):
     assert {r.value: r.n for r in live.value_counts(spark, job).collect()} == fixtures.COLOUR_COUNTS_AT_10
 
 
+def test_colour_counts_add_up_when_batches_overlap_in_seq(spark):
+    """Partitions are read at different speeds: a later batch may bring lower numbers."""
+    root, schema = work_dir(spark, "job"), "seq bigint, key string, value string"
+    pieces = [[(1, "u", "X"), (10, "u", "Y"), (11, "v", "Y")], [(5, "u", "Z"), (6, "u", "X"), (7, "v", "Z")]]
+    job = run(
+        spark, pieces[0] + pieces[1], schema, [3, 3], lambda rows: live.start_value_counts(rows, root)
+    )
+    found = jobs.read_updates(spark, job).where("batch_id = 1").orderBy("seq", "step").collect()
+    assert [(r.seq, r.value, r.n) for r in found] == [
+        (5, "Y", 1),
+        (5, "Z", 1),
+        (6, "Z", 0),
+        (6, "X", 1),
+        (7, "Y", 0),
+        (7, "Z", 1),
+    ]
+    assert {r.value: r.n for r in live.value_counts(spark, job).collect()} == {"X": 1, "Y": 0, "Z": 1}
+
+
 def forget_last_commit(job):
     """As if the process had died after the batch wrote its output and before it was recorded."""
     commits = job.folders.checkpoint.removeprefix("file:") + "/commits"

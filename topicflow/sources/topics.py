@@ -154,11 +154,12 @@ def spread(df: DataFrame, parallelism: int | None = None, by: Sequence[str] = ()
 
     Without a ``parallelism`` and without ``by`` this only acts when the input has
     fewer splits than the cluster has cores (few, small files); a large input already
-    has more splits than that and is not shuffled.
+    has more splits than that and is not shuffled.  It takes twice as many parts as
+    there are cores, so that a few long texts do not hold up one of them.
     """
     if by:
         return df.repartition(parallelism, *by) if parallelism else df.repartition(*by)
     if parallelism:
         return df.repartition(parallelism)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df

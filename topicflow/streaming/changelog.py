@@ -11,7 +11,7 @@ that is run again finds what it found the first time.  Every batch rewrites the
 which suits large micro-batches (see the source limits in ``sources.topics``); keys
 never expire.
 
-Records of one key must not arrive in an earlier batch than the records before them.
+Within a batch records count in ``seq`` order; a later batch counts as arriving later.
 """
 
 from __future__ import annotations
@@ -33,8 +33,16 @@ CHANGES = "seq bigint, step int, value string, delta bigint"
 class CarriedState:
     """A keyed state table handed from one micro-batch to the next."""
 
-    def __init__(self, at: Folders, name: str, schema: str, combine: Callable[[Column], Column]):
-        self.path, self.schema, self.combine = at.table(f"state/{name}"), schema, combine
+    def __init__(
+        self,
+        at: Folders,
+        name: str,
+        schema: str,
+        combine: Callable[[Column], Column],
+        as_past: Callable[[Column], Column] = lambda state: state,
+    ):
+        """``as_past`` says how the state of an earlier batch takes part in the next one."""
+        self.path, self.schema, self.combine, self.as_past = at.table(f"state/{name}"), schema, combine, as_past
 
     def _copy(self, batch_id: int) -> str:
         return f"{self.path}/{batch_id % 2}"
@@ -44,7 +52,9 @@ class CarriedState:
         return spark.read.schema(self.schema).parquet(self._copy(batch_id))
 
     def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        return self.after(spark, batch_id - 1) if batch_id > 0 else None
+        if batch_id == 0:
+            return None
+        return self.after(spark, batch_id - 1).withColumn("state", self.as_past(F.col("state")))
 
     def save(self, change: DataFrame, batch_id: int) -> None:
         """Combine the state before the batch with what the batch adds to it."""
@@ -82,6 +92,11 @@ def start_running_balance(events: DataFrame, root: str, fresh: bool = False, **t
     return start_batches(events, at, advance, schema, **trigger)
 
 
+def _before_any(latest: Column) -> Column:
+    """A (seq, value) state that every record of the next batch comes after (null sorts first)."""
+    return F.struct(F.lit(None).cast("bigint").alias("seq"), latest["value"].alias("value"))
+
+
 def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
     """How many keys have each value, after each (key, seq, value) update.
 
@@ -89,7 +104,7 @@ def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **tri
     one value and gives to another, then the running count per value.
     """
     at = folders(root, fresh)
-    latest = CarriedState(at, "latest", LATEST_STATE, F.max)
+    latest = CarriedState(at, "latest", LATEST_STATE, F.max, as_past=_before_any)
     counts = CarriedState(at, "counts", VALUE_COUNT_STATE, F.sum)
 
     def advance(batch: DataFrame, batch_id: int) -> DataFrame:
