@@ -54,21 +54,21 @@ def running(
     per key, the keys and a column ``state``.
     """
     columns, keys = df.columns, list(keys)
-    rows = df.withColumn("_value", value)
 
     if levels == 0:
-        groups = keys
+        groups, rows = keys, df.withColumn("_value", value)
         starts = initial and initial.select(*keys, F.col("state").alias("_value"))
     else:
         slot = f"_slot{levels}"
         groups = [*keys, slot]
-        cut, cold_starts = rows, None
         number = F.shiftright(F.col(seq), slot_bits)
+        cold_starts = None
         if hot_rows is None:
-            cut = rows = rows.withColumn(slot, number)
+            cut = rows = df.withColumns({"_value": value, slot: number})
         else:
             hot = _hot_keys(df, keys, hot_rows)
-            rows = rows.join(hot, keys, "left").withColumn(slot, F.when(F.col("_hot"), number).otherwise(F.lit(0)))
+            hot_number = F.when(F.col("_hot"), number).otherwise(F.lit(0))
+            rows = df.join(hot, keys, "left").withColumns({"_value": value, slot: hot_number})
             cut = rows.where("_hot")
             if initial is not None:
                 cold_starts = initial.join(hot, keys, "left_anti").select(
@@ -81,13 +81,13 @@ def running(
             slot,
             F.col("state"),
             combine,
-            "_inherited",
+            "_value",
             before=True,
             initial=initial,
             slot_bits=slot_bits,
             levels=levels - 1,
         )
-        starts = inherited.where(F.col("_inherited").isNotNull()).select(*groups, F.col("_inherited").alias("_value"))
+        starts = inherited.select(*groups, "_value").where(F.col("_value").isNotNull())
         if cold_starts is not None:
             starts = starts.unionByName(cold_starts)
 

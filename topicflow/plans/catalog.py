@@ -180,6 +180,14 @@ def typed_topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- words ------------------------------------------------------------------------
 
 
+def _spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.spread(inputs.documents(inputs.batch_reader(spark, sf_dir)))
+
+
+def _spread_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.spread(inputs.conversations(inputs.batch_reader(spark, sf_dir)))
+
+
 @query(f'SELECT "key", seq, pos, word FROM ({_conversation_words(_unicode_parts("text"))})')
 def tokens_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = tokens.unicode_tokens(inputs.conversations(inputs.batch_reader(spark, sf_dir)))
@@ -200,12 +208,12 @@ def tokens_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_UNICODE_COUNTS)
 def word_count_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.unicode_word_count(inputs.spread_documents(inputs.batch_reader(spark, sf_dir)))
+    return flows.unicode_word_count(_spread_documents(spark, sf_dir))
 
 
 @query(_SPACE_COUNTS)
 def word_count_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.space_word_count(inputs.spread_documents(inputs.batch_reader(spark, sf_dir)))
+    return flows.space_word_count(_spread_documents(spark, sf_dir))
 
 
 @query(f"SELECT word, lpad(hex(n), 16, '0') AS n_hex FROM ({_SPACE_COUNTS})")
@@ -215,13 +223,13 @@ def encoded_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_running_words(_conversation_words(_space_parts("text"), "lower(word)")))
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens.space_tokens(inputs.conversations(inputs.batch_reader(spark, sf_dir)), lower=True)
+    words = tokens.space_tokens(_spread_conversations(spark, sf_dir), lower=True)
     return _running_rows(changelog.running_count(words.drop("value")))
 
 
 @query(_running_words(_conversation_words(_unicode_parts("text"))))
 def running_word_count_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens.unicode_tokens(inputs.conversations(inputs.batch_reader(spark, sf_dir)))
+    words = tokens.unicode_tokens(_spread_conversations(spark, sf_dir))
     return _running_rows(changelog.running_count(words.drop("value")))
 
 

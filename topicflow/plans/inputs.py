@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicflow.functions.wire import epoch_micros
-from topicflow.sources.topics import spread, with_arrival_order
+from topicflow.sources.topics import with_arrival_order
 
 Reader = Callable[..., DataFrame]
 
@@ -108,8 +108,3 @@ def payments(table: Reader) -> DataFrame:
         unset_each(7, F.col("c_mktsegment")).alias("profile"),
         F.lit(None).cast("int").alias("salary"),
     )
-
-
-def spread_documents(table: Reader) -> DataFrame:
-    """Documents over all cores, where the table comes in fewer splits than that."""
-    return spread(documents(table))
