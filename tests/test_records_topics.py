@@ -125,3 +125,15 @@ def test_peek_counts_and_passes_on(topic):
     passed = sinks.peek(topic, seen, last=F.max("offset"))
     assert passed.count() == topic.count()
     assert seen.get == {"rows": topic.count(), "last": 3}
+
+
+def test_kafka_functions_ask_for_the_package(spark, topic):
+    """Where Spark's Kafka package is absent, each says so; their options are right up to there."""
+    calls = [
+        lambda: topics.stream_kafka(spark, "broker:9092", "t", 3),
+        lambda: topics.read_kafka(spark, "broker:9092", "t", [0, 1, 2], 3),
+        lambda: sinks.write_kafka(sinks.text_records(topic), "broker:9092", "t"),
+    ]
+    for call in calls:
+        with pytest.raises(Exception, match="(?i)kafka"):
+            call()

@@ -258,3 +258,44 @@ def test_tokens_of_a_stream_are_those_of_the_batch(spark):
     batch = unicode_tokens(spark.createDataFrame(fixtures.SENTENCES, fixtures.SENTENCE_SCHEMA)).drop("value")
     assert tuples(jobs.read_rows(spark, job)) == tuples(batch)
     assert tuples(tables.count_per_key(jobs.read_rows(spark, job))) == sorted(fixtures.LOWER_COUNTS.items())
+
+
+def test_latest_value_of_a_stream(spark):
+    root = work_dir(spark, "job")
+    job = run(
+        spark,
+        fixtures.COLOUR_LINES,
+        fixtures.COLOUR_SCHEMA,
+        [3, 9],
+        lambda rows: jobs.start_table(tables.latest_value(flows.colour_updates(rows)), root),
+    )
+    found = {r.key: r.value for r in jobs.read_table(spark, job, ["key"]).collect()}
+    assert found == {"ALICE": "BLUE", "BOB": "BLUE", "DAVE": "GREEN", "": "RED"}
+
+
+def test_balances_do_not_depend_on_the_order_of_files(spark):
+    """Amount and time follow event time, id follows ``seq``, whichever file comes first."""
+    root = work_dir(spark, "job")
+    job = run(
+        spark,
+        fixtures.account_rows()[::-1],
+        fixtures.ACCOUNT_SCHEMA,
+        [3, 5],
+        lambda rows: jobs.start_table(flows.latest_balance(rows), root),
+    )
+    table = jobs.read_table(spark, job, ["key"])
+    assert {r.key: (r.id, r.amount, r.timestamp) for r in table.collect()} == fixtures.ACCOUNTS
+
+
+def test_counts_encoded_for_a_topic(spark):
+    """The update stream as (string key, 8-byte value) records."""
+    root = work_dir(spark, "job")
+    job = run(
+        spark,
+        fixtures.SENTENCES,
+        fixtures.SENTENCE_SCHEMA,
+        [2, 3],
+        lambda rows: jobs.start_table(sinks.count_records(flows.unicode_word_count(rows)), root),
+    )
+    table = jobs.read_table(spark, job, ["key"])
+    assert {r.key: int.from_bytes(r.value, "big") for r in table.collect()} == fixtures.LOWER_COUNTS
