@@ -6,14 +6,15 @@ import re
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from topicflow.plans.catalog import QUERIES, SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
-BATCH = [name for name in queries() if not name.startswith(("stream_", "stored_", "drained_"))]
+BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_", "drained_"))]
 
 
 @pytest.fixture(scope="module")
@@ -24,13 +25,13 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_rows_as_the_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     found = sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr)
 
-    result = duck.execute(oracle_sql()[name])
+    result = duck.execute(SQL[name])
     names = [d[0] for d in result.description]
     types = {d[0]: str(d[1]).replace("NUMBER", "").replace("STRING", "VARCHAR") for d in result.description}
     assert sorted(names) == columns
@@ -51,14 +52,14 @@ def plan(df):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_batch_plans_are_built_in_and_distributed(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for bad in ("Python", "ArrowEval", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
         assert bad not in text
 
 
 @pytest.mark.parametrize("name", ["running_word_count", "running_balance", "running_color_count"])
 def test_windows_over_rows_are_cut_into_slots(spark, name):
-    text = plan(queries()[name](spark, SF_DIR)).split("Initial Plan")[-1]
+    text = plan(QUERIES[name](spark, SF_DIR)).split("Initial Plan")[-1]
     windows = re.findall(r"windowspecdefinition\((.*?) ASC NULLS FIRST", text)
     groups = [re.sub(r"#\d+L?", "", w).split(", ") for w in windows]
     # the last item is the order column: rows are windowed by (key, slot), and a bare key
@@ -68,14 +69,14 @@ def test_windows_over_rows_are_cut_into_slots(spark, name):
 
 
 def test_scans_read_only_what_is_used(spark):
-    text = plan(queries()["word_count_unicode"](spark, SF_DIR))
+    text = plan(QUERIES["word_count_unicode"](spark, SF_DIR))
     assert "ReadSchema: struct<text:string>" in text
-    text = plan(queries()["latest_balance"](spark, SF_DIR))
+    text = plan(QUERIES["latest_balance"](spark, SF_DIR))
     assert "o_orderpriority" not in text and "PushedFilters: [IsNotNull(o_custkey)]" in text
 
 
 def test_counts_are_combined_before_the_shuffle(spark):
     for name in ("word_count_unicode", "word_count_space", "partition_progress", "latest_color", "favourite_color", "latest_balance"):
-        text = plan(queries()[name](spark, SF_DIR))
+        text = plan(QUERIES[name](spark, SF_DIR))
         before_shuffle = text[text.index("Exchange hashpartitioning") :]
         assert "partial_" in before_shuffle
