@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from topicflow.llm import bpe, mixing, simhash, toxicity
+from topicflow.llm import bpe, mixing, sharding, simhash, toxicity, warc
 from topicflow.llm.common import table
+from topicflow.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +46,28 @@ def op6_bpe_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(bpe.decode(encoded, TOKENIZER))
 
 
+@query()
+def op7_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "archives")
+    warc.write_archives(warc.records(table(spark, sf_dir, "pages", "page_id", "url", "html")), path)
+    found = warc.read_archives(spark, path, content=False)
+    revisit = F.col("record_type") == "revisit"
+    declared = F.regexp_extract("http_headers", r"(?i)content-length: *(\d+)", 1).cast("long")
+    header = F.col("headers")
+    return found.select(
+        header["x-page-id"].cast("long").alias("page_id"),
+        F.when(revisit, declared).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index(header["warc-payload-digest"], ":", -1)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        header["x-refers-to-page-id"].cast("long").alias("refers_to"),
+    )
+
+
+@query()
+def op8_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @query(
     """
     WITH sources AS (
