@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from topicflow.llm import bpe, mixing, sharding, simhash, toxicity, warc
+from topicflow.llm import bpe, lm, mixing, sharding, simhash, toxicity, warc
 from topicflow.llm.common import table
 from topicflow.session import work_dir
 
@@ -39,6 +39,11 @@ def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query()
+def op5_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents", "doc_id", "text"), remainder(7) != 2)
+
+
 @query()
 def op6_bpe_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
