@@ -242,10 +242,10 @@ def connected(edges: DataFrame) -> DataFrame:
     Alternating stars: each node hands its larger neighbours to its smallest one, then its
     smaller ones.  Each round halves the depth, and ends as stars.
     """
-    edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     before = None
     while True:
-        edges = written(_small_star(_large_star(edges)), "edges")
+        edges = written(_small_star(_large_star(edges)).distinct(), "edges")
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             break
@@ -255,18 +255,21 @@ def connected(edges: DataFrame) -> DataFrame:
     )
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Add each node's smallest neighbour; a node with many neighbours is one row on that side of the join."""
+    return edges.join(edges.groupBy("a").agg(F.min("b").alias("least")), "a")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("least"))
-    larger = both.where("b > a").join(least, "a")
-    return larger.select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+    least = F.least("a", "least")
+    return _with_least(both.select("e.*")).where("b > a").select(F.col("b").alias("a"), least.alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    # each edge points from the larger node to the smaller
-    least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return moved.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
+    # each edge points from the larger node to the smaller; the smallest gets the node and the other neighbours
+    moved = F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(F.col("b"))
+    return _with_least(edges).select(moved.alias("a"), F.col("least").alias("b"))
 
 
 def grouped(prints: DataFrame, budget: int = MAX_DIFFERING) -> DataFrame:
@@ -275,7 +278,7 @@ def grouped(prints: DataFrame, budget: int = MAX_DIFFERING) -> DataFrame:
     ``component_id`` is the smallest doc_id reachable; null if none of the group has one.
     """
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = connected(fingerprint_links(distinct.select("fp"), budget))
+    roots = connected(written(fingerprint_links(distinct.select("fp"), budget), "links"))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = written(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
