@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from topicflow.llm import bpe, lm, mixing, sharding, simhash, toxicity, warc
+from topicflow.llm import ann, bpe, lm, mixing, sharding, simhash, topk, toxicity, warc
 from topicflow.llm.common import table
 from topicflow.session import work_dir
 
@@ -34,6 +34,32 @@ def remainder(divisor: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor
 
 
+@query()
+def op1_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@query(
+    """
+    WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    ), cells AS (
+        SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM whole
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+        FROM cells q JOIN cells c ON q.d = c.d AND q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id
+    ), ranked AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """
+)
+def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 @query()
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
