@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from topicflow.llm import ann, bpe, lm, mixing, sharding, simhash, topk, toxicity, warc
+from topicflow.llm import ann, bpe, licenses, lm, mixing, sharding, simhash, topk, toxicity, warc
 from topicflow.llm.common import table
 from topicflow.session import work_dir
 
@@ -60,6 +60,21 @@ def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
 
 
+@query()
+def op3_license_inheritance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a tree of files: folders by thousands and hundreds of ids, each with a licence file, and by source."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    id = F.col("doc_id")
+    thousand = F.floor(id / 1000).cast("string")
+    hundred = F.concat_ws("/", thousand, F.floor(id / 100).cast("string"))
+    path = (
+        F.when(id % 1000 == 0, F.concat_ws("/", thousand, F.lit("LICENSE")))
+        .when(id % 100 == 0, F.concat_ws("/", hundred, F.lit("LICENSE")))
+        .otherwise(F.concat_ws("/", hundred, F.coalesce("source", F.lit("none")), F.concat(id.cast("string"), F.lit(".txt"))))
+    )
+    return licenses.scan_licenses(docs.withColumn("path", path))
+
+
 @query()
 def op4_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
