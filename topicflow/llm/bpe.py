@@ -18,14 +18,14 @@ import hashlib
 import heapq
 import json
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 #: Fixed value: how a byte-level tokenizer cuts text into words.
@@ -56,6 +56,7 @@ class Vocabulary:
     merges: list[tuple[bytes, bytes]]
     #: Strings that are cut out of a text first, with their ids.
     added: dict[str, int]
+    coder: Coder | None = None
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -104,31 +105,33 @@ class Coder:
         if -1 in self.single:
             raise ValueError("the vocabulary lacks single bytes")
 
-        self.merged: dict[tuple[int, int], tuple[int, int]] = {}
+        #: By pair (first * size + second): rank and outcome as one number, so that the least is the first.
+        self.size = size
+        self.merged: dict[int, int] = {}
         rank, left, right = np.zeros(size, np.int64), np.arange(size), np.arange(size)
         ordered = True
         for r, (a, b) in enumerate(vocabulary.merges, 1):
             i, j, k = ids[a], ids[b], ids[a + b]
-            self.merged.setdefault((i, j), (r, k))
+            self.merged.setdefault(i * size + j, r << 32 | k)
             ordered &= not rank[k] and rank[i] < r and rank[j] < r and (len(a) == 1 or rank[i] > 0) and (len(b) == 1 or rank[j] > 0)
             if not rank[k]:
                 rank[k], left[k], right[k] = r, i, j
         #: Undoing merges from the latest is only right where parts are made before wholes, one way each.
         self.speculate = ordered
         self.rank, self.left, self.right = rank, left, right
-        keys = np.array([i << 32 | j for i, j in self.merged], np.int64)
+        keys = np.array(list(self.merged), np.int64)
         order = np.argsort(keys)
         self.pair_keys = keys[order]
-        self.pair_ranks = np.array([r for r, _ in self.merged.values()], np.int64)[order]
+        self.pair_ranks = np.array([m >> 32 for m in self.merged.values()], np.int64)[order]
 
-        #: Longest entry with given first two bytes.
+        #: Longest entry with given first three bytes.
         self.longest: dict[bytes, int] = {}
         reachable = ids.items()
         if ordered:
             reachable = [(t, i) for t, i in ids.items() if len(t) == 1 or rank[i]]
         self.guesses = dict(reachable)
         for token in self.guesses:
-            head = token[:2]
+            head = token[:3]
             self.longest[head] = max(self.longest.get(head, 1), len(token))
         if ordered:  # an entry that its own bytes do not encode to must not be guessed
             whole = np.array([i for t, i in self.guesses.items() if len(t) > 1], np.int64)
@@ -144,7 +147,7 @@ class Coder:
         good = np.ones(len(a), bool)
         at, limit = np.arange(len(a)), np.broadcast_to(limit, len(a)).copy()
         while len(at):
-            key = a << 32 | b
+            key = a * self.size + b
             place = np.minimum(np.searchsorted(self.pair_keys, key), max(0, len(self.pair_keys) - 1))
             across = np.where(self.pair_keys[place] == key, self.pair_ranks[place], NEVER) if len(self.pair_keys) else np.full(len(a), NEVER)
             bad = across < limit
@@ -162,7 +165,7 @@ class Coder:
         found, at, end = [], 0, len(word)
         guesses, longest = self.guesses, self.longest
         while at < end:
-            to = min(end, at + longest.get(word[at : at + 2], 1))
+            to = min(end, at + longest.get(word[at : at + 3], 2))
             while to > at + 1:
                 token = guesses.get(word[at:to])
                 if token is not None:
@@ -179,21 +182,26 @@ class Coder:
         parts = [self.single[b] for b in word]
         if len(parts) > SCAN_BYTES:
             return self._merge_long(parts)
-        merged = self.merged
-        while len(parts) > 1:
-            found = [merged.get(pair, (NEVER, 0)) for pair in zip(parts, parts[1:])]
-            best = min(found)
-            if best[0] == NEVER:
+        size, get = self.size, self.merged.get
+        ranks = [get(a * size + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
                 break
-            at = found.index(best)
-            parts[at : at + 2] = [best[1]]
+            at = ranks.index(best)
+            parts[at] = best & 0xFFFFFFFF
+            del parts[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = get(parts[at - 1] * size + parts[at], NEVER)
+            if at < len(ranks):
+                ranks[at] = get(parts[at] * size + parts[at + 1], NEVER)
         return parts
 
     def _merge_long(self, parts: list[int]) -> list[int]:
-        n = len(parts)
+        n, size, merged = len(parts), self.size, self.merged
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*self.merged[p], i, *p) for i, p in enumerate(zip(parts, parts[1:])) if p in self.merged]
-        heap = [(r, i, k, a, b) for r, k, i, a, b in heap]
+        pairs = ((i, a, b, a * size + b) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        heap = [(merged[key] >> 32, i, merged[key] & 0xFFFFFFFF, a, b) for i, a, b, key in pairs if key in merged]
         heapq.heapify(heap)
         while heap:
             _, i, k, a, b = heapq.heappop(heap)
@@ -205,9 +213,8 @@ class Coder:
             if after[i] < n:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y < n and (pair := (parts[x], parts[y])) in self.merged:
-                    r, t = self.merged[pair]
-                    heapq.heappush(heap, (r, x, t, *pair))
+                if x >= 0 and y < n and (m := merged.get(parts[x] * size + parts[y])) is not None:
+                    heapq.heappush(heap, (m >> 32, x, m & 0xFFFFFFFF, parts[x], parts[y]))
         return [p for p in parts if p >= 0]
 
     def learn(self, words: Iterable[str]) -> None:
@@ -286,20 +293,28 @@ class Coder:
     def encode(self, text: str) -> bytes:
         return next(self.encode_all([text]))
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are no UTF-8 become replacement characters, ids out of range nothing."""
-        pieces = self.pieces
-        return b"".join([pieces[i] for i in ids if 0 <= i < len(pieces)]).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        ids = ids[(ids >= 0) & (ids < self.size)]
+        return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-def _coders(vocabulary):
-    """A function that builds the coder of a task once."""
-    made = []
+_SENT: dict[tuple[str, str], object] = {}
+
+
+def _coders(spark: SparkSession, path: str) -> Callable[[], Coder]:
+    """A function for tasks that gives the coder; a Python worker builds it once, whatever tasks it runs."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SENT:
+        _SENT[key] = spark.sparkContext.broadcast(load_vocabulary(path))
+    sent = _SENT[key]
 
     def coder() -> Coder:
-        if not made:
-            made.append(Coder(vocabulary.value))
-        return made[0]
+        vocabulary = sent.value
+        if vocabulary.coder is None:
+            vocabulary.coder = Coder(vocabulary)
+        return vocabulary.coder
 
     return coder
 
@@ -309,11 +324,11 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
     Each row is encoded by itself from its whole text.
     """
-    coder = _coders(df.sparkSession.sparkContext.broadcast(load_vocabulary(path)))
+    coder = _coders(df.sparkSession, path)
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        found = list(coder().encode_all(t or "" for t in texts.to_pylist()))
+        found = list(coder().encode_all(t.as_py() or "" for t in texts))
         ends = np.cumsum([0, *(len(b) // 4 for b in found)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
@@ -322,12 +337,13 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the text of an array of ids; null for null."""
-    coder = _coders(df.sparkSession.sparkContext.broadcast(load_vocabulary(path)))
+    coder = _coders(df.sparkSession, path)
 
     @F.arrow_udf("string")
     def texts(found: pa.Array) -> pa.Array:
-        decode_one = coder().decode
-        return pa.array([None if x is None else decode_one(x) for x in found.to_pylist()], pa.string())
+        decode_one, values, ends = coder().decode, found.values.to_numpy(zero_copy_only=False), found.offsets.to_pylist()
+        null = found.is_null().to_pylist()
+        return pa.array([None if n else decode_one(values[a:b]) for n, a, b in zip(null, ends, ends[1:])], pa.string())
 
     return df.withColumn(out, texts(F.col(ids)))
 
