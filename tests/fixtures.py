@@ -1,18 +1,18 @@
 """Hand-worked inputs and results."""
 
 SENTENCES = [
-    (0, "0", "I am the BeSt"),
-    (1, "1", "i Support CSK"),
-    (2, "2", "We are happy if csk wins"),
-    (3, "3", "Ashwin and Dhoni are good captains"),
-    (4, "4", "Watson and Ponting are legends"),
+    (0, "0", "A heron stands In the reeds"),
+    (1, "1", "the Reeds bend"),
+    (2, "2", "if rain falls herons are still"),
+    (3, "3", "Mist and rain are quiet guests"),
+    (4, "4", "Owls and otters are awake"),
 ]
 SENTENCE_SCHEMA = "seq bigint, key string, value string"
 
 LOWER_COUNTS = {
-    **{"are": 3, "and": 2, "csk": 2, "i": 2},
+    **{"are": 3, "and": 2, "rain": 2, "reeds": 2, "the": 2},
     **dict.fromkeys(
-        "am ashwin best captains dhoni good happy if legends ponting support the watson we wins".split(), 1
+        "a awake bend falls guests heron herons if in mist otters owls quiet stands still".split(), 1
     ),
 }
 

@@ -14,7 +14,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
-BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_", "drained_"))]
+BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_", "drained_", "resumed_"))]
 
 
 @pytest.fixture(scope="module")
@@ -60,12 +60,20 @@ def test_batch_plans_are_built_in_and_distributed(spark, name):
 @pytest.mark.parametrize("name", ["running_word_count", "running_balance", "running_color_count"])
 def test_windows_over_rows_are_cut_into_slots(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR)).split("Initial Plan")[-1]
-    windows = re.findall(r"windowspecdefinition\((.*?) ASC NULLS FIRST", text)
-    groups = [re.sub(r"#\d+L?", "", w).split(", ") for w in windows]
-    # the last item is the order column: rows are windowed by (key, slot), and a bare key
-    # only where the rows are slots of slots
-    assert [g for g in groups if "_slot2" in g[:-1]]
-    assert all(g[-1] == "_slot1" for g in groups if len(g) == 2)
+    windows = re.findall(r"windowspecdefinition\((.*?), _is_row#\d+ ASC NULLS FIRST, (\w+)", text)
+    groups = [([re.sub(r"#\d+L?", "", k) for k in keys.split(", ")], order) for keys, order in windows]
+    # rows are windowed by (key, slot), and a bare key only where the rows are slots of slots
+    assert [keys for keys, _ in groups if keys[-1] == "_slot2"]
+    assert all(order == "_slot1" for keys, order in groups if not keys[-1].startswith("_slot"))
+
+
+def test_hot_keys_are_found_without_a_scan_of_their_own_or_a_forced_broadcast(spark):
+    df = QUERIES["running_balance_split"](spark, SF_DIR)
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    # the rows, and the combined rows per key and slot; what else needs these reuses their exchange
+    assert final.count("FileScan parquet") <= 3
 
 
 def test_scans_read_only_what_is_used(spark):
@@ -80,3 +88,9 @@ def test_counts_are_combined_before_the_shuffle(spark):
         text = plan(QUERIES[name](spark, SF_DIR))
         before_shuffle = text[text.index("Exchange hashpartitioning") :]
         assert "partial_" in before_shuffle
+
+
+def test_retracting_counts_find_each_pair_first(spark):
+    text = plan(QUERIES["favourite_color"](spark, SF_DIR)).split("Initial Plan")[-1]
+    below = text[text.index("Expand") :]
+    assert "HashAggregate" in below and "partial_max" in below and "Sort [" not in below

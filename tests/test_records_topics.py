@@ -13,9 +13,9 @@ LOOSE_PAYMENT = "id string, name string, amount double, profile string, salary i
 @pytest.fixture(scope="module")
 def payments(spark):
     rows = [
-        ("id2000", "RICKY", 1000.0, "Manager ", 100),
-        ("id2001", None, None, None, None),
-        (None, "RICKY", 1.0, "x", 5),
+        ("p-17", "Odile", 42.5, "auditor ", 73),
+        ("p-18", None, None, None, None),
+        (None, "Odile", 1.0, "x", 5),
     ]
     return spark.createDataFrame(rows, LOOSE_PAYMENT)
 
@@ -29,12 +29,12 @@ def topic(spark):
 def test_completion_and_rejects(payments):
     done = records.complete_records(payments, records.PAYMENT)
     assert sorted(tuple(r) for r in done.collect()) == [
-        ("id2000", "RICKY", 1000.0, "Manager ", 100),
-        ("id2001", "", 0.0, "developer", 100),
+        ("p-17", "Odile", 42.5, "auditor ", 73),
+        ("p-18", "", 0.0, "developer", 100),
     ]
     assert done.columns == records.PAYMENT.fieldNames()
     assert [tuple(r) for r in records.rejected_records(payments, records.PAYMENT).collect()] == [
-        (None, "RICKY", 1.0, "x", 5, "id")
+        (None, "Odile", 1.0, "x", 5, "id")
     ]
 
 
@@ -54,7 +54,7 @@ def test_absent_fields_count_as_unset(spark):
 
 
 def test_projection_by_name(spark):
-    df = spark.createDataFrame([(1, "Vijender", 500.0, 100)], "id int, name string, amount double, timestamp bigint")
+    df = spark.createDataFrame([(1, "Maren", 500.0, 100)], "id int, name string, amount double, timestamp bigint")
     assert [tuple(r) for r in records.project_records(df, records.FINAL_ACCOUNT).collect()] == [(1, 500.0, 100)]
     assert records.project_records(df.drop("name"), records.BANK_ACCOUNT).first().name == ""
     widened = records.project_records(df.withColumn("timestamp", F.lit(7)), records.FINAL_ACCOUNT)
@@ -94,15 +94,19 @@ def test_arrival_order_is_total_and_follows_offsets(topic):
 
 def test_spread(spark):
     df = spark.range(0, 100, 1, 2)
-    assert topics.spread(df).rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 32)
-    assert topics.spread(many).rdd.getNumPartitions() == 32
+    assert topics.spread(df).rdd.getNumPartitions() == 2
     assert topics.spread(df, 3).rdd.getNumPartitions() == 3
     by_key = topics.spread(df.withColumn("k", F.col("id") % 5), 4, by=["k"])
     homes = by_key.select("k", F.spark_partition_id().alias("p")).distinct().collect()
     assert len(homes) == 5
 
 
+def test_kafka_starts_cover_the_assigned_partitions_only(topic):
+    progress = topics.partition_progress(topic.where("partition < 2"))
+    text = topics.starting_offsets_json(progress, {"t": [1, 2], "u": [0]})
+    assert json.loads(text) == {"t": {"1": 3, "2": -2}, "u": {"0": -2}}
+
+
 def test_sinks_round_trip(spark, topic):
     path = work_dir(spark, "text")
     sinks.write_topic(sinks.text_records(topic), path)

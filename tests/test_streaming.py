@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from topicflow.operators import changelog, tables
 from topicflow.operators.tokens import space_tokens, unicode_tokens
-from topicflow.plans import flows
+from topicflow.plans import catalog, flows
 from topicflow.session import work_dir
 from topicflow.sources import sinks, topics
 from topicflow.streaming import changelog as live, jobs, state
@@ -57,7 +57,7 @@ def test_latest_balance(spark, split, restart):
     )
     table = jobs.read_table(spark, job, ["key"])
     assert {r.key: (r.id, r.amount, r.timestamp) for r in table.collect()} == fixtures.ACCOUNTS
-    stored = state.stored_balances(spark, job).collect()
+    stored = state.stored_balances(spark, job, overall=True).collect()
     assert {r.key: (r.id, r.amount, r.timestamp) for r in stored} == fixtures.ACCOUNTS
     assert [r.key for r in stored] == ["3", "2", "1"]
     assert {r.partition_id for r in stored} <= set(range(3))
@@ -89,7 +89,7 @@ def test_word_counts(spark, flow):
         lambda rows: jobs.start_table(flow(rows), root),
     )
     assert {r.word: r.n for r in jobs.read_table(spark, job, ["word"]).collect()} == fixtures.LOWER_COUNTS
-    stored = state.stored_counts(spark, job).collect()
+    stored = state.stored_counts(spark, job, overall=True).collect()
     assert {r.word: r.n for r in stored} == fixtures.LOWER_COUNTS
     assert [r.word for r in stored] == sorted(fixtures.LOWER_COUNTS, reverse=True)
 
@@ -273,18 +273,73 @@ def test_latest_value_of_a_stream(spark):
     assert found == {"ALICE": "BLUE", "BOB": "BLUE", "DAVE": "GREEN", "": "RED"}
 
 
-def test_balances_do_not_depend_on_the_order_of_files(spark):
-    """Amount and time follow event time, id follows ``seq``, whichever file comes first."""
+TIE = [(10, "1", 1, 500.0, 100), (5, "1", 2, 700.0, 100)]
+
+
+def test_a_later_batch_loses_a_tie_whatever_its_numbers(spark):
+    """The live job and the table agree: what arrived first stays, the id follows arrival."""
     root = work_dir(spark, "job")
-    job = run(
-        spark,
-        fixtures.account_rows()[::-1],
-        fixtures.ACCOUNT_SCHEMA,
-        [3, 5],
-        lambda rows: jobs.start_table(flows.latest_balance(rows), root),
-    )
-    table = jobs.read_table(spark, job, ["key"])
-    assert {r.key: (r.id, r.amount, r.timestamp) for r in table.collect()} == fixtures.ACCOUNTS
+    job = run(spark, TIE, fixtures.ACCOUNT_SCHEMA, [1, 1], lambda rows: live.start_running_balance(rows, root))
+    found = jobs.read_updates(spark, job).orderBy("batch_id").collect()
+    assert [(r.id, r.amount, r.timestamp) for r in found] == [(1, 500.0, 100), (2, 500.0, 100)]
+    assert [tuple(r) for r in live.balances(spark, job).collect()] == [("1", 500.0, 100)]
+
+    root = work_dir(spark, "job")
+    job = run(spark, TIE, fixtures.ACCOUNT_SCHEMA, [1, 1], lambda rows: jobs.start_table(flows.latest_balance(rows), root))
+    assert [tuple(r) for r in jobs.read_table(spark, job, ["key"]).collect()] == [("1", 2, 500.0, 100)]
+
+
+def test_latest_value_follows_batches_before_numbers(spark):
+    root, schema = work_dir(spark, "job"), "seq bigint, key string, value string"
+    rows = [(10, "u", "X"), (5, "u", "Y")]
+    job = run(spark, rows, schema, [1, 1], lambda df: jobs.start_table(tables.latest_value(df), root))
+    assert [tuple(r) for r in jobs.read_table(spark, job, ["key"]).collect()] == [("u", "Y")]
+
+
+def test_a_batch_writes_the_state_of_its_own_keys(spark):
+    root, path = work_dir(spark, "job"), work_dir(spark, "topic")
+    pieces = [[(i, f"k{i}", i, 1.0 * i, i + 1) for i in range(200)]] + [[(1000 + i, "k7", i, 5.0, 1000 + i)] for i in range(4)]
+    for piece in pieces:
+        spark.createDataFrame(piece, fixtures.ACCOUNT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        job = live.start_running_balance(stream(spark, path, fixtures.ACCOUNT_SCHEMA), root).wait()
+    kept = live.CarriedState(job.folders, "balances", live.BALANCE_STATE, F.max)
+    sizes = {r.batch_id: r["count"] for r in spark.read.parquet(f"{kept.path}/change").groupBy("batch_id").count().collect()}
+    assert sizes == {0: 200, 1: 1, 2: 1, 3: 1, 4: 1}
+    few = kept.after(spark, 4, keys=spark.createDataFrame([("k7",)], "key string"))
+    assert [(r.key, r.state.amount) for r in few.collect()] == [("k7", 5.0)]
+    assert live.balances(spark, job).count() == 200
+
+
+def test_state_is_the_same_with_and_without_compaction(spark):
+    at = jobs.folders(work_dir(spark, "job"))
+    kept = live.CarriedState(at, "counts", live.COUNT_STATE, F.sum, compact_every=2)
+    total = {}
+    for i in range(5):
+        for _ in range(2):  # each batch is run twice
+            change = spark.createDataFrame([("a", 1), (f"w{i}", 2)], live.COUNT_STATE)
+            before = kept.take(change, i)
+            found = {} if before is None else {r.word: r.state for r in before.collect()}
+        assert found == {k: v for k, v in total.items() if k in ("a", f"w{i}")}
+        for word, n in (("a", 1), (f"w{i}", 2)):
+            total[word] = total.get(word, 0) + n
+    assert {r.word: r.state for r in kept.now(spark).collect()} == total
+
+
+def test_the_source_of_a_batch_is_read_once(spark):
+    root, path = work_dir(spark, "job"), work_dir(spark, "topic")
+    spark.createDataFrame(fixtures.COLOUR_LINES, fixtures.COLOUR_SCHEMA).write.parquet(path)
+    job = live.start_value_counts(flows.colour_updates(stream(spark, path, fixtures.COLOUR_SCHEMA, 100)), root).wait()
+    assert sum(p.numInputRows for p in job.query.recentProgress) == len(fixtures.COLOUR_LINES)
+
+
+@pytest.mark.parametrize("name", ["resumed_word_count", "resumed_running_balance", "resumed_running_color_count"])
+def test_resumed_queries_run_three_batches(spark, monkeypatch, name):
+    seen = []
+    wait = jobs.Job.wait
+    monkeypatch.setattr(jobs.Job, "wait", lambda job: seen.append(wait(job)) or job)
+    catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(seen) == 3 and len({j.query.runId for j in seen}) == 3
+    assert jobs.read_updates(spark, seen[-1]).select("batch_id").distinct().count() >= 3
 
 
 def test_counts_encoded_for_a_topic(spark):

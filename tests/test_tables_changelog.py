@@ -6,11 +6,11 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from topicflow.operators import changelog, tables
-from topicflow.operators.running import running
+from topicflow.operators.running import running, unordered
 from topicflow.operators.tokens import space_tokens
 from topicflow.plans import flows
 
-SLOTS = [{}, {"slot_bits": 1}, {"slot_bits": 1, "hot_rows": 2}, {"levels": 0}]
+SLOTS = [{}, {"slot_bits": 1}, {"slot_bits": (1, 2, 3)}, {"slot_bits": 1, "hot_rows": 2}, {"levels": 0}]
 PROPERTY = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
@@ -137,3 +137,31 @@ def test_colours_against_a_plain_fold(spark, updates):
     assert sorted(tuple(r) for r in found.collect()) == expected
     assert {r.value: r.n for r in tables.count_by_current_value(df).collect()} == counts
     assert sum(counts.values()) == len(latest)
+
+
+@pytest.mark.parametrize("before", [False, True])
+@pytest.mark.parametrize("hot_rows", [None, 1])
+@pytest.mark.parametrize("started", [False, True])
+def test_a_row_without_a_number_is_an_error_or_set_aside(spark, before, hot_rows, started):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", 2)], "k string, seq bigint")
+    initial = spark.createDataFrame([("a", 5)], "k string, state bigint") if started else None
+
+    def run(rows):
+        one = F.lit(1).cast("bigint")
+        return running(rows, ["k"], "seq", one, F.sum, "n", before=before, initial=initial, hot_rows=hot_rows, slot_bits=1)
+
+    with pytest.raises(Exception, match="has no place in the order"):
+        run(df).collect()
+    found = {r.k: r.n for r in run(df.where("seq IS NOT NULL")).collect()}
+    first = None if before else 1
+    assert found == {"a": (5 if before else 6) if started else first, "b": first}
+    assert len(found) + unordered(df).count() == df.count()
+
+
+def test_a_record_that_repeats_a_word_and_sparse_numbers(spark):
+    rows = [(1, "w " * 300), (1 << 40, "w x"), ((1 << 62) + 5, "x w w"), (-(1 << 61), "w")]
+    df = spark.createDataFrame(rows, "seq bigint, value string")
+    counted = changelog.running_count(space_tokens(df))
+    found = [(r.seq, r.n) for r in counted.where("word = 'w'").orderBy("seq", "pos").collect()]
+    seqs = [-(1 << 61)] + [1] * 300 + [1 << 40] + [(1 << 62) + 5] * 2
+    assert found == list(zip(seqs, range(1, 305)))

@@ -2,7 +2,8 @@
 
 Each function has a partner ``..._state`` giving, per key, what the next records have
 to start from; passing it back as ``initial`` continues the sequence.  That is how the
-streaming form carries on from one micro-batch to the next.
+streaming form carries on from one micro-batch to the next; ``batch`` numbers what has
+arrived together, and a later batch arrives later whatever its sequence numbers are.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from topicflow.operators.running import HOT_ROWS, combined, running
 from topicflow.operators.tables import event_rank
 
+#: The words of a record share its number, so a first slot holds 4,096 records only.
+WORD_SLOT_BITS = (12, 25)
+
 
 def _one() -> Column:
     return F.lit(1).cast("bigint")
@@ -24,10 +28,11 @@ def running_count(
     pos: str = "pos",
     out: str = "n",
     initial: DataFrame | None = None,
-    **slots: int,
+    **slots,
 ) -> DataFrame:
     """Each row with the count of its key so far, ordered by (seq, pos)."""
     rows = df.where(F.col(key).isNotNull())
+    slots = {"slot_bits": WORD_SLOT_BITS} | slots
     return running(rows, [key], seq, _one(), F.sum, out, ties=[pos], initial=initial, **slots)
 
 
@@ -35,8 +40,8 @@ def running_count_state(df: DataFrame, key: str = "word") -> DataFrame:
     return combined(df.where(F.col(key).isNotNull()), [key], _one(), F.sum)
 
 
-def _winning_event(timestamp: str, seq: str, amount: str) -> Column:
-    return F.when(F.col(timestamp) > 0, event_rank(timestamp, seq, amount))
+def _winning_event(timestamp: str, seq: str, amount: str, batch: int) -> Column:
+    return F.when(F.col(timestamp) > 0, event_rank(timestamp, seq, amount, F.lit(batch).cast("bigint")))
 
 
 def running_balance(
@@ -48,11 +53,12 @@ def running_balance(
     seq: str = "seq",
     initial: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    **slots: int,
+    batch: int = 0,
+    **slots,
 ) -> DataFrame:
     """The account record after each event, unchanged where the event was late."""
     rows = df.where(F.col(key).isNotNull()).select(key, seq, id, amount, timestamp)
-    newest = _winning_event(timestamp, seq, amount)
+    newest = _winning_event(timestamp, seq, amount, batch)
     return running(
         rows, [key], seq, newest, F.max, "_newest", initial=initial, hot_rows=hot_rows, **slots
     ).select(
@@ -65,14 +71,19 @@ def running_balance(
 
 
 def running_balance_state(
-    df: DataFrame, key: str = "key", amount: str = "amount", timestamp: str = "timestamp", seq: str = "seq"
+    df: DataFrame,
+    key: str = "key",
+    amount: str = "amount",
+    timestamp: str = "timestamp",
+    seq: str = "seq",
+    batch: int = 0,
 ) -> DataFrame:
-    return combined(df.where(F.col(key).isNotNull()), [key], _winning_event(timestamp, seq, amount), F.max)
+    return combined(df.where(F.col(key).isNotNull()), [key], _winning_event(timestamp, seq, amount, batch), F.max)
 
 
-def _arrived(seq: str, value: str) -> Column:
-    # seq grows, so the maximum over the rows before is the row before
-    return F.struct(F.col(seq).alias("seq"), F.col(value).alias("value"))
+def _arrived(seq: str, value: str, batch: int) -> Column:
+    # batches and, within one, seq grow, so the maximum over the rows before is the row before
+    return F.struct(F.lit(batch).cast("bigint").alias("batch"), F.col(seq).alias("seq"), F.col(value).alias("value"))
 
 
 def _valued(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -86,7 +97,8 @@ def value_changes(
     seq: str = "seq",
     initial: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
-    **slots: int,
+    batch: int = 0,
+    **slots,
 ) -> DataFrame:
     """What each update does to the count of keys per value: (seq, step, value, delta).
 
@@ -98,7 +110,7 @@ def value_changes(
         rows,
         [key],
         seq,
-        _arrived(seq, value),
+        _arrived(seq, value, batch),
         F.max,
         "_old",
         before=True,
@@ -114,8 +126,10 @@ def value_changes(
     return steps.select(seq, F.explode(F.array_compact(change)).alias("_change")).select(seq, "_change.*")
 
 
-def value_changes_state(df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq") -> DataFrame:
-    return combined(_valued(df, key, value), [key], _arrived(seq, value), F.max)
+def value_changes_state(
+    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", batch: int = 0
+) -> DataFrame:
+    return combined(_valued(df, key, value), [key], _arrived(seq, value, batch), F.max)
 
 
 def count_changes(
@@ -124,7 +138,7 @@ def count_changes(
     seq: str = "seq",
     out: str = "n",
     initial: DataFrame | None = None,
-    **slots: int,
+    **slots,
 ) -> DataFrame:
     """Turn changes into the count of keys per value after each: (seq, step, value, n)."""
     counts = running(
@@ -144,7 +158,7 @@ def running_value_count(
     seq: str = "seq",
     out: str = "n",
     hot_rows: int = HOT_ROWS,
-    **slots: int,
+    **slots,
 ) -> DataFrame:
     """How many keys have the value after each update: (seq, step, value, n)."""
     return count_changes(value_changes(df, key, value, seq, hot_rows=hot_rows, **slots), value, seq, out, **slots)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from topicflow.functions.wire import long_hex
+from topicflow.functions.wire import decode_long, long_hex
 from topicflow.operators import changelog, pairs, records, tables, tokens
 from topicflow.plans import flows, inputs
 from topicflow.session import work_dir
@@ -55,8 +55,8 @@ def _conversation_words(parts: str, word: str = "word") -> str:
                CAST(pos - 1 AS INTEGER) AS pos, {word} AS word
         FROM (SELECT *, unnest(parts) AS word, generate_subscripts(parts, 1) AS pos
               FROM (SELECT 'conversations' AS topic, CAST(conv_id % 3 AS INTEGER) AS "partition",
-                           conv_id * 1000 + turn AS "offset", CAST(conv_id AS VARCHAR) AS "key",
-                           text AS message, conv_id * 1000 + turn AS seq, {parts} AS parts
+                           conv_id * 4294967296 + turn AS "offset", CAST(conv_id AS VARCHAR) AS "key",
+                           text AS message, conv_id * 4294967296 + turn AS seq, {parts} AS parts
                     FROM conversations))"""
 
 
@@ -177,15 +177,45 @@ def typed_topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.read_topic(spark, path, schema)
 
 
+@query(f"""SELECT "key", message AS "value" FROM ({_EVENT_TOPIC})""")
+def keyed_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write (key, value) records to a file topic and read them back."""
+    path = work_dir(spark, "texts")
+    rows = sinks.text_records(inputs.events(inputs.batch_reader(spark, sf_dir)))
+    sinks.write_topic(rows, path)
+    return topics.read_topic(spark, path, rows.schema)
+
+
+@query(f"""SELECT "key", message, topic, "partition", "offset", count(*) OVER () AS peeked FROM ({_EVENT_TOPIC})""")
+def peeked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that pass a peek on their way into a file topic, with the number the peek has seen."""
+    path, seen = work_dir(spark, "peeked"), Observation("peeked")
+    rows = sinks.peek(topics.translate(inputs.events(inputs.batch_reader(spark, sf_dir))), seen)
+    rows.write.parquet(path)
+    return topics.read_topic(spark, path, rows.schema).withColumn("peeked", F.lit(seen.get["rows"]).cast("bigint"))
+
+
+@query(f"""SELECT "key", message, topic, "partition", "offset" FROM ({_EVENT_TOPIC})""")
+def spread_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event topic dealt out by key."""
+    return topics.spread(topics.translate(inputs.events(inputs.batch_reader(spark, sf_dir))), by=["key"])
+
+
+@query(f"""SELECT message AS "key", "offset", "partition" FROM ({_EVENT_TOPIC}) WHERE message IS NOT NULL""")
+def rekeyed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = topics.translate(inputs.events(inputs.batch_reader(spark, sf_dir)))
+    return pairs.rekey(rows, F.col("message")).select("key", "offset", "partition")
+
+
 # --- words ------------------------------------------------------------------------
 
 
-def _spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.spread(inputs.documents(inputs.batch_reader(spark, sf_dir)))
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.documents(inputs.batch_reader(spark, sf_dir))
 
 
-def _spread_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.spread(inputs.conversations(inputs.batch_reader(spark, sf_dir)))
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.conversations(inputs.batch_reader(spark, sf_dir))
 
 
 @query(f'SELECT "key", seq, pos, word FROM ({_conversation_words(_unicode_parts("text"))})')
@@ -208,12 +238,12 @@ def tokens_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_UNICODE_COUNTS)
 def word_count_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.unicode_word_count(_spread_documents(spark, sf_dir))
+    return flows.unicode_word_count(_documents(spark, sf_dir))
 
 
 @query(_SPACE_COUNTS)
 def word_count_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.space_word_count(_spread_documents(spark, sf_dir))
+    return flows.space_word_count(_documents(spark, sf_dir))
 
 
 @query(f"SELECT word, lpad(hex(n), 16, '0') AS n_hex FROM ({_SPACE_COUNTS})")
@@ -221,15 +251,25 @@ def encoded_count_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_count_space(spark, sf_dir).select("word", long_hex(F.col("n")).alias("n_hex"))
 
 
+@query(_SPACE_COUNTS)
+def count_bytes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write counts as (key, 8 bytes) records, read them back and decode them."""
+    path = work_dir(spark, "counts")
+    rows = sinks.count_records(word_count_space(spark, sf_dir))
+    sinks.write_topic(rows, path)
+    found = topics.read_topic(spark, path, rows.schema)
+    return found.select(F.col("key").alias("word"), decode_long(F.col("value")).alias("n"))
+
+
 @query(_running_words(_conversation_words(_space_parts("text"), "lower(word)")))
 def running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens.space_tokens(_spread_conversations(spark, sf_dir), lower=True)
+    words = tokens.space_tokens(_conversations(spark, sf_dir), lower=True)
     return _running_rows(changelog.running_count(words.drop("value")))
 
 
 @query(_running_words(_conversation_words(_unicode_parts("text"))))
 def running_word_count_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = tokens.unicode_tokens(_spread_conversations(spark, sf_dir))
+    words = tokens.unicode_tokens(_conversations(spark, sf_dir))
     return _running_rows(changelog.running_count(words.drop("value")))
 
 
@@ -259,6 +299,47 @@ def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _running_rows(jobs.read_rows(spark, job))
 
 
+@query(
+    f"""SELECT word, CAST(count(*) AS BIGINT) AS n
+        FROM ({_conversation_words(_space_parts("text"), "lower(word)")}) GROUP BY word"""
+)
+def stream_space_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = flows.space_word_count(inputs.conversations(inputs.stream_reader(spark, sf_dir)))
+    return jobs.read_table(spark, jobs.start_table(table, work_dir(spark, "space-words")).wait(), ["word"])
+
+
+@query(f'SELECT topic, "offset", "key", message, "partition", pos, word FROM ({_conversation_words(_space_parts("text"))})')
+def stream_token_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = flows.token_explode(inputs.conversations(inputs.stream_reader(spark, sf_dir)))
+    return jobs.read_rows(spark, jobs.start_append(rows, work_dir(spark, "exploded")).wait())
+
+
+#: Pieces that a resumed job gets one after the other, each with a start, a micro-batch and a stop.
+PIECES = 3
+
+
+def _resumed(spark: SparkSession, rows: DataFrame, start: Callable[[DataFrame], jobs.Job], order: list[int]) -> jobs.Job:
+    """Run a job over a topic that grows piece by piece, cut by ``seq``; the job stops and resumes between pieces."""
+    path = work_dir(spark, "pieces")
+    low, high = rows.agg(F.min("seq"), F.max("seq")).first()
+    low, width = low or 0, ((high or 0) - (low or 0)) // PIECES + 1
+    job = None
+    for i in order:
+        piece = rows.where((F.col("seq") >= low + i * width) & (F.col("seq") < low + (i + 1) * width))
+        piece.write.mode("append").parquet(path)
+        job = start(topics.stream_topic(spark, path, rows.schema)).wait()
+    return job
+
+
+@query(_CONVERSATION_COUNTS)
+def resumed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over three micro-batches, the pieces out of order."""
+    root = work_dir(spark, "resumed-words")
+    rows = _conversations(spark, sf_dir)
+    job = _resumed(spark, rows, lambda topic: jobs.start_table(flows.unicode_word_count(topic), root), [2, 0, 1])
+    return jobs.read_table(spark, job, ["word"])
+
+
 # --- colours ----------------------------------------------------------------------
 
 
@@ -315,6 +396,27 @@ def stream_running_color_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_rows(spark, _colour_job(spark, sf_dir))
 
 
+@query(_RUNNING_COLOUR_COUNTS)
+def running_color_count_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with users cut into slots that have more than a few updates, and narrow slots."""
+    return changelog.running_value_count(_updates(_lines(spark, sf_dir)), hot_rows=5, slot_bits=8)
+
+
+def _resumed_colours(spark: SparkSession, sf_dir: str) -> jobs.Job:
+    root = work_dir(spark, "resumed-colours")
+    return _resumed(spark, _lines(spark, sf_dir), lambda lines: live.start_value_counts(_updates(lines), root), [0, 1, 2])
+
+
+@query(_COLOUR_COUNTS)
+def resumed_favourite_color(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return live.value_counts(spark, _resumed_colours(spark, sf_dir))
+
+
+@query(_RUNNING_COLOUR_COUNTS)
+def resumed_running_color_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.read_rows(spark, _resumed_colours(spark, sf_dir))
+
+
 # --- balances ---------------------------------------------------------------------
 
 
@@ -350,6 +452,20 @@ def stream_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_rows(spark, live.start_running_balance(events, work_dir(spark, "running-balances")).wait())
 
 
+@query(_RUNNING_BALANCE)
+def running_balance_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with accounts cut into slots that have more than a few events, and narrow slots."""
+    return changelog.running_balance(inputs.account_events(inputs.batch_reader(spark, sf_dir)), hot_rows=8, slot_bits=8)
+
+
+@query(_RUNNING_BALANCE)
+def resumed_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = work_dir(spark, "resumed-balances")
+    rows = inputs.account_events(inputs.batch_reader(spark, sf_dir)).drop("name")
+    job = _resumed(spark, rows, lambda events: live.start_running_balance(events, root), [0, 1, 2])
+    return jobs.read_rows(spark, job)
+
+
 # --- records ----------------------------------------------------------------------
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from topicflow.operators.pairs import keep_allowed, parse_pairs
 from topicflow.operators.records import FINAL_ACCOUNT, project_records
@@ -16,6 +16,8 @@ from topicflow.operators.tokens import space_tokens, unicode_tokens
 from topicflow.plans.inputs import COLOURS
 from topicflow.sources.topics import translate
 
+KEYED_FINAL_ACCOUNT = T.StructType([T.StructField("key", T.StringType(), False), *FINAL_ACCOUNT.fields])
+
 
 def unicode_word_count(topic: DataFrame) -> DataFrame:
     """Topic → lower-cased words → count per word."""
@@ -44,5 +46,4 @@ def favourite_colour(lines: DataFrame, allowed: Sequence[str] = COLOURS, line: s
 
 def latest_balance(events: DataFrame) -> DataFrame:
     """Account events → newest record per key, as the final account's fields."""
-    table = latest_by_event_time(events)
-    return table.select("key", *project_records(table, FINAL_ACCOUNT).columns)
+    return project_records(latest_by_event_time(events), KEYED_FINAL_ACCOUNT)

@@ -43,7 +43,7 @@ def documents(table: Reader) -> DataFrame:
 
 def conversations(table: Reader) -> DataFrame:
     """Conversation turns as a topic: one record per turn, keyed by conversation."""
-    seq = F.col("conv_id") * 1000 + F.col("turn")
+    seq = F.shiftleft("conv_id", 32) + F.col("turn")  # a turn is an int, so no two records share a number
     return table(
         "conversations",
         F.lit("conversations").alias("topic"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -42,23 +44,31 @@ def append_topic(df: DataFrame, path: str, checkpoint: str, available_now: bool
     return writer.start(path)
 
 
-def write_kafka(df: DataFrame, servers: str, topic: str) -> None:
+def write_kafka(df: DataFrame, servers: str, topic: str, options: Mapping[str, str] | None = None) -> None:
     """Write (key, value[, partition]) records to Kafka (needs ``spark-sql-kafka``)."""
-    df.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+    writer = df.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    writer.options(**(options or {})).save()
 
 
 def stream_to_kafka(
-    df: DataFrame, servers: str, topic: str, checkpoint: str, output_mode: str = "append"
+    df: DataFrame,
+    servers: str,
+    topic: str,
+    checkpoint: str,
+    output_mode: str = "append",
+    available_now: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Stream records to Kafka.  Delivery is at least once: readers drop repeats by (key, seq)."""
-    return (
+    writer = (
         df.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
+        .options(**(options or {}))
         .outputMode(output_mode)
-        .start()
     )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def peek(df: DataFrame, name: str | Observation, **metrics: Column) -> DataFrame:

@@ -11,7 +11,7 @@ Parquet files (one directory) or read from Kafka when that package is on the clu
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -67,14 +67,19 @@ def stream_kafka(
     topic: str,
     partitions: int,
     max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Subscribe to a Kafka topic from the earliest offset (needs ``spark-sql-kafka``)."""
+    """Subscribe to a Kafka topic from the earliest offset (needs ``spark-sql-kafka``).
+
+    ``options`` go to the source as they are, such as ``kafka.security.protocol``.
+    """
     df = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        .options(**(options or {}))
         .load()
     )
     return _kafka_columns(df, partitions)
@@ -87,6 +92,7 @@ def read_kafka(
     assigned: Sequence[int],
     partitions: int,
     starting_offsets: str = "earliest",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Bounded read of the assigned partitions up to their present ends (needs ``spark-sql-kafka``).
 
@@ -98,6 +104,7 @@ def read_kafka(
         .option("assign", json.dumps({topic: list(assigned)}))
         .option("startingOffsets", starting_offsets)
         .option("endingOffsets", "latest")
+        .options(**(options or {}))
         .load()
     )
     return _kafka_columns(df, partitions)
@@ -138,28 +145,32 @@ def unread(df: DataFrame, progress: DataFrame) -> DataFrame:
     return kept.select(*df.columns)
 
 
-def starting_offsets_json(progress: DataFrame) -> str:
+EARLIEST = -2
+
+
+def starting_offsets_json(progress: DataFrame, assigned: Mapping[str, Sequence[int]] | None = None) -> str:
     """Progress as the ``startingOffsets`` text of a Kafka read.
 
+    Kafka wants a start for each assigned partition and for no other: with ``assigned``, those
+    without progress start at their earliest offset and progress of others is left out.
     Brings one row per partition to the driver, which is where Kafka wants it.
     """
-    offsets: dict[str, dict[str, int]] = {}
+    offsets = {topic: {str(p): EARLIEST for p in parts} for topic, parts in (assigned or {}).items()}
     for row in progress.select("topic", "partition", "next_offset").toLocalIterator():
-        offsets.setdefault(row["topic"], {})[str(row["partition"])] = row["next_offset"]
+        topic, partition = row["topic"], str(row["partition"])
+        if assigned is None:
+            offsets.setdefault(topic, {})[partition] = row["next_offset"]
+        elif partition in offsets.get(topic, {}):
+            offsets[topic][partition] = row["next_offset"]
     return json.dumps(offsets)
 
 
 def spread(df: DataFrame, parallelism: int | None = None, by: Sequence[str] = ()) -> DataFrame:
-    """Redistribute rows: round-robin, or by the values of ``by``.
+    """Redistribute rows: by the values of ``by``, or round-robin to ``parallelism`` parts.
 
-    Without a ``parallelism`` and without ``by`` this only acts when the input has
-    fewer splits than the cluster has cores (few, small files); a large input already
-    has more splits than that and is not shuffled.  It takes twice as many parts as
-    there are cores, so that a few long texts do not hold up one of them.
+    Without either the rows stay where they are: how many splits an input has is for its files
+    and ``spark.sql.files.maxPartitionBytes`` to say.
     """
     if by:
         return df.repartition(parallelism, *by) if parallelism else df.repartition(*by)
-    if parallelism:
-        return df.repartition(parallelism)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parallelism) if parallelism else df

@@ -5,10 +5,11 @@ one row per record.  Each micro-batch runs the batch operator on its records, st
 from the state the batches before it have left.  So a live changelog has the batch
 plan's properties: built-in columns only, and no key's records in one task.
 
-The state is a small table, one row per key, in the job's folder.  Two copies take
-turns: batch ``i`` reads the one of batch ``i - 1`` and replaces the other, so a batch
-that is run again finds what it found the first time.  Every batch rewrites the state,
-which suits large micro-batches (see the source limits in ``sources.topics``); keys
+The state is a keyed table in the job's folder.  A batch writes one row for each key it
+has, and nothing of other keys; from time to time the rows so far are combined into one
+per key.  A batch starts from the state of its own keys only.  What batch ``i`` reads was
+written by batches before it, and what it writes is named by its id and replaced when it
+is run again, so a batch that is run again finds what it found the first time.  Keys
 never expire.
 
 Within a batch records count in ``seq`` order; a later batch counts as arriving later.
@@ -18,17 +19,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from topicflow.operators import changelog
-from topicflow.streaming.jobs import Folders, Job, folders, read_updates, start_batches
+from topicflow.streaming.jobs import Folders, Job, folders, start_batches
 
 COUNT_STATE = "word string, state bigint"
-BALANCE_STATE = "key string, state struct<timestamp: bigint, earlier: bigint, amount: double>"
-LATEST_STATE = "key string, state struct<seq: bigint, value: string>"
+BALANCE_STATE = "key string, state struct<timestamp: bigint, earlier_batch: bigint, earlier: bigint, amount: double>"
+LATEST_STATE = "key string, state struct<batch: bigint, seq: bigint, value: string>"
 VALUE_COUNT_STATE = "value string, state bigint"
 CHANGES = "seq bigint, step int, value string, delta bigint"
 
+#: Batches after which the changes so far are combined into one row per key.
+COMPACT_EVERY = 16
+
 
 class CarriedState:
     """A keyed state table handed from one micro-batch to the next."""
@@ -39,41 +44,75 @@ class CarriedState:
         name: str,
         schema: str,
         combine: Callable[[Column], Column],
-        as_past: Callable[[Column], Column] = lambda state: state,
+        compact_every: int = COMPACT_EVERY,
     ):
-        """``as_past`` says how the state of an earlier batch takes part in the next one."""
-        self.path, self.schema, self.combine, self.as_past = at.table(f"state/{name}"), schema, combine, as_past
+        self.path, self.schema, self.combine, self.every = at.table(f"state/{name}"), schema, combine, compact_every
+
+    def _change(self, batch_id: int) -> str:
+        return f"{self.path}/change/batch_id={batch_id}"
+
+    def _whole(self, batch_id: int) -> str:
+        return f"{self.path}/whole/batch_id={batch_id}"
+
+    def _read(self, spark: SparkSession, *paths: str) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(*paths)
+
+    def after(self, spark: SparkSession, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
+        """The state that batch ``batch_id`` has left, of the given keys or of all."""
+        whole = (batch_id + 1) // self.every * self.every - 1
+        paths = [self._whole(whole)] if whole >= 0 else []
+        rows = self._read(spark, *paths, *[self._change(i) for i in range(whole + 1, batch_id + 1)])
+        names = rows.columns[:-1]
+        if keys is not None:
+            rows = rows.join(keys.select(*names), names, "left_semi")
+        return rows.groupBy(*names).agg(self.combine(F.col("state")).alias("state"))
+
+    def take(self, change: DataFrame, batch_id: int) -> DataFrame | None:
+        """Store what batch ``batch_id`` adds and return what its keys had before."""
+        spark = change.sparkSession
+        change.write.mode("overwrite").parquet(self._change(batch_id))
+        before = None
+        if batch_id > 0:
+            before = self.after(spark, batch_id - 1, keys=self._read(spark, self._change(batch_id)))
+        if (batch_id + 1) % self.every == 0:
+            self._compact(spark, batch_id)
+        return before
+
+    def _compact(self, spark: SparkSession, batch_id: int) -> None:
+        earlier = batch_id - self.every
+        paths = [self._whole(earlier)] if earlier >= 0 else []
+        rows = self._read(spark, *paths, *[self._change(i) for i in range(earlier + 1, batch_id + 1)])
+        whole = rows.groupBy(*rows.columns[:-1]).agg(self.combine(F.col("state")).alias("state"))
+        whole.write.mode("overwrite").parquet(self._whole(batch_id))
+
+    def now(self, spark: SparkSession) -> DataFrame:
+        """The state as the last batch has left it."""
+        try:
+            last = spark.read.parquet(f"{self.path}/change").agg(F.max("batch_id")).first()[0]
+        except AnalysisException:  # no batch has run
+            last = None
+        return spark.createDataFrame([], self.schema) if last is None else self.after(spark, last)
+
 
-    def _copy(self, batch_id: int) -> str:
-        return f"{self.path}/{batch_id % 2}"
+def _counts(at: Folders) -> CarriedState:
+    return CarriedState(at, "counts", COUNT_STATE, F.sum)
 
-    def after(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The state that batch ``batch_id`` has left."""
-        return spark.read.schema(self.schema).parquet(self._copy(batch_id))
 
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        return self.after(spark, batch_id - 1).withColumn("state", self.as_past(F.col("state")))
+def _balances(at: Folders) -> CarriedState:
+    return CarriedState(at, "balances", BALANCE_STATE, F.max)
 
-    def save(self, change: DataFrame, batch_id: int) -> None:
-        """Combine the state before the batch with what the batch adds to it."""
-        before = self.before(change.sparkSession, batch_id)
-        if before is not None:
-            keys = before.columns[:-1]
-            both = before.unionByName(change)
-            change = both.groupBy(*keys).agg(self.combine(F.col("state")).alias("state"))
-        change.write.mode("overwrite").parquet(self._copy(batch_id))
+
+def _value_counts(at: Folders) -> CarriedState:
+    return CarriedState(at, "counts", VALUE_COUNT_STATE, F.sum)
 
 
 def start_running_count(words: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
     """Each (word, seq, pos, ...) row with the count of its word so far."""
     at = folders(root, fresh)
-    counts = CarriedState(at, "counts", COUNT_STATE, F.sum)
 
     def advance(batch: DataFrame, batch_id: int) -> DataFrame:
-        counts.save(changelog.running_count_state(batch), batch_id)
-        return changelog.running_count(batch, initial=counts.before(batch.sparkSession, batch_id))
+        before = _counts(at).take(changelog.running_count_state(batch), batch_id)
+        return changelog.running_count(batch, initial=before)
 
     schema = T.StructType(words.schema.fields + [T.StructField("n", T.LongType())])
     return start_batches(words, at, advance, schema, **trigger)
@@ -82,21 +121,15 @@ def start_running_count(words: DataFrame, root: str, fresh: bool = False, **trig
 def start_running_balance(events: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
     """The account record after each (key, seq, id, amount, timestamp) event."""
     at = folders(root, fresh)
-    balances = CarriedState(at, "balances", BALANCE_STATE, F.max)
 
     def advance(batch: DataFrame, batch_id: int) -> DataFrame:
-        balances.save(changelog.running_balance_state(batch), batch_id)
-        return changelog.running_balance(batch, initial=balances.before(batch.sparkSession, batch_id))
+        before = _balances(at).take(changelog.running_balance_state(batch, batch=batch_id), batch_id)
+        return changelog.running_balance(batch, initial=before, batch=batch_id)
 
     schema = events.select("key", "seq", "id", "amount", "timestamp").schema
     return start_batches(events, at, advance, schema, **trigger)
 
 
-def _before_any(latest: Column) -> Column:
-    """A (seq, value) state that every record of the next batch comes after (null sorts first)."""
-    return F.struct(F.lit(None).cast("bigint").alias("seq"), latest["value"].alias("value"))
-
-
 def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
     """How many keys have each value, after each (key, seq, value) update.
 
@@ -104,18 +137,15 @@ def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **tri
     one value and gives to another, then the running count per value.
     """
     at = folders(root, fresh)
-    latest = CarriedState(at, "latest", LATEST_STATE, F.max, as_past=_before_any)
-    counts = CarriedState(at, "counts", VALUE_COUNT_STATE, F.sum)
+    latest = CarriedState(at, "latest", LATEST_STATE, F.max)
 
     def advance(batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
         topic = f"{at.table('changes')}/batch_id={batch_id}"
-        found = changelog.value_changes(batch, initial=latest.before(spark, batch_id))
+        before = latest.take(changelog.value_changes_state(batch, batch=batch_id), batch_id)
+        found = changelog.value_changes(batch, initial=before, batch=batch_id)
         found.write.mode("overwrite").parquet(topic)
-        changes = spark.read.schema(CHANGES).parquet(topic)
-        latest.save(changelog.value_changes_state(batch), batch_id)
-        counts.save(changelog.count_changes_state(changes), batch_id)
-        return changelog.count_changes(changes, initial=counts.before(spark, batch_id))
+        changes = batch.sparkSession.read.schema(CHANGES).parquet(topic)
+        return changelog.count_changes(changes, initial=_value_counts(at).take(changelog.count_changes_state(changes), batch_id))
 
     schema = T.StructType(
         [
@@ -129,13 +159,19 @@ def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **tri
 
 
 def value_counts(spark: SparkSession, job: Job) -> DataFrame:
-    """The counts :func:`start_value_counts` has arrived at; a value nobody has stays with 0.
+    """The counts :func:`start_value_counts` has arrived at; a value nobody has stays with 0."""
+    return _value_counts(job.folders).now(spark).withColumnRenamed("state", "n")
 
-    Reads the carried state of the last batch that wrote rows.  Later batches replace that
-    copy, so use it on a job that has stopped or is idle.
-    """
-    last = read_updates(spark, job).agg(F.max("batch_id")).first()[0]
-    counts = CarriedState(job.folders, "counts", VALUE_COUNT_STATE, F.sum)
-    if last is None:
-        return spark.createDataFrame([], "value string, n bigint")
-    return counts.after(spark, last).withColumnRenamed("state", "n")
+
+def word_counts(spark: SparkSession, job: Job) -> DataFrame:
+    """The counts :func:`start_running_count` has arrived at."""
+    return _counts(job.folders).now(spark).withColumnRenamed("state", "n")
+
+
+def balances(spark: SparkSession, job: Job) -> DataFrame:
+    """Amount and timestamp that :func:`start_running_balance` has arrived at."""
+    return _balances(job.folders).now(spark).select(
+        "key",
+        F.coalesce("state.amount", F.lit(0.0)).alias("amount"),
+        F.coalesce("state.timestamp", F.lit(0).cast("bigint")).alias("timestamp"),
+    )

@@ -66,15 +66,23 @@ def start_batches(
     mode: str = "append",
     available_now: bool = True,
     interval: str = "10 seconds",
+    keep: bool = True,
 ) -> Job:
     """Run ``advance`` on each micro-batch and write what it returns.
 
     A batch goes to a folder named by its id and replaces what is there, so a batch that
-    is run again after a failure leaves the same rows, once.
+    is run again after a failure leaves the same rows, once.  With ``keep`` the batch is kept
+    while it is worked on, so its source is read once however often ``advance`` uses it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        advance(batch, batch_id).write.mode("overwrite").parquet(f"{at.output}/batch_id={batch_id}")
+        if keep:
+            batch.persist()
+        try:
+            advance(batch, batch_id).write.mode("overwrite").parquet(f"{at.output}/batch_id={batch_id}")
+        finally:
+            if keep:
+                batch.unpersist()
 
     query = _writer(rows, mode, at, available_now, interval).foreachBatch(write).start()
     return Job(query, at, schema)
@@ -87,7 +95,7 @@ def start_table(table: DataFrame, root: str, fresh: bool = False, **trigger) ->
     fixed by the first run of a checkpoint, so choose it for the size the state will have.
     """
     at = folders(root, fresh)
-    return start_batches(table, at, lambda batch, _: batch, table.schema, mode="update", **trigger)
+    return start_batches(table, at, lambda batch, _: batch, table.schema, mode="update", keep=False, **trigger)
 
 
 def start_append(

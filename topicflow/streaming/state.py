@@ -15,15 +15,23 @@ def stored_state(spark: SparkSession, checkpoint: str, batch_id: int | None = No
     return reader.load(checkpoint)
 
 
-def stored_counts(spark: SparkSession, job: Job, key: str = "word", batch_id: int | None = None) -> DataFrame:
-    """Stored count per key, keys in reverse order."""
+def _in_reverse(rows: DataFrame, key: str, overall: bool) -> DataFrame:
+    return rows.orderBy(F.desc(key)) if overall else rows.sortWithinPartitions(F.desc(key))
+
+
+def stored_counts(
+    spark: SparkSession, job: Job, key: str = "word", batch_id: int | None = None, overall: bool = False
+) -> DataFrame:
+    """Stored count per key, keys in reverse order within each store or, with a shuffle, ``overall``."""
     state = stored_state(spark, job.folders.checkpoint, batch_id)
     rows = state.select(F.col("key")[key].alias(key), F.col("value.count").alias("n"), "partition_id")
-    return rows.orderBy(F.desc(key))
+    return _in_reverse(rows, key, overall)
 
 
-def stored_balances(spark: SparkSession, job: Job, key: str = "key", batch_id: int | None = None) -> DataFrame:
-    """Stored account record per key, keys in reverse order.
+def stored_balances(
+    spark: SparkSession, job: Job, key: str = "key", batch_id: int | None = None, overall: bool = False
+) -> DataFrame:
+    """Stored account record per key, keys in reverse order within each store or, with a shuffle, ``overall``.
 
     The store holds the aggregate's buffer: the id that arrived last, then the newest event.
     """
@@ -36,7 +44,7 @@ def stored_balances(spark: SparkSession, job: Job, key: str = "key", batch_id: i
         F.coalesce(newest["timestamp"], F.lit(0).cast("bigint")).alias("timestamp"),
         "partition_id",
     )
-    return rows.orderBy(F.desc(key))
+    return _in_reverse(rows, key, overall)
 
 
 def stores(spark: SparkSession, checkpoint: str) -> DataFrame:
