@@ -95,7 +95,7 @@ def op6_bpe_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "archives")
-    warc.write_archives(warc.records(table(spark, sf_dir, "pages", "page_id", "url", "html")), path)
+    warc.write_archives(warc.records(table(spark, sf_dir, "pages", "page_id", "url", "html")), path, compression="gzip")
     found = warc.read_archives(spark, path, content=False)
     revisit = F.col("record_type") == "revisit"
     declared = F.regexp_extract("http_headers", r"(?i)content-length: *(\d+)", 1).cast("long")

@@ -111,9 +111,13 @@ def records(
     return joined.select(F.concat(header, block).alias("record"))
 
 
-def write_archives(records: DataFrame, path: str) -> None:
-    """Write the column ``record`` as archives, one for each partition."""
-    records.select("record").write.option("lineSep", END).option("compression", "none").text(path)
+def write_archives(records: DataFrame, path: str, compression: str = "none") -> None:
+    """Write the column ``record`` as archives, one for each partition.
+
+    ``none`` leaves archives that are read in splits; a ``gzip`` archive takes a quarter of
+    the room and is read by one task, so it wants partitions of no more than a task's size.
+    """
+    records.select("record").write.option("lineSep", END).option("compression", compression).text(path)
 
 
 # --- reading ----------------------------------------------------------------------
