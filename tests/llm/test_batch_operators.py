@@ -223,7 +223,13 @@ def test_language_model(spark, monkeypatch):
     monkeypatch.setattr(lm, "MAX_FREQUENT", 150)
     dice = random.Random(4)
     words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in ("s", "ing", "ed", "")]
-    texts = [" ".join(dice.choices(words, weights=range(1, len(words) + 1), k=dice.randint(1, 80))) for _ in range(150)]
+    texts = []
+    for _ in range(150):  # what follows a word is one of three words
+        at, text = dice.randrange(20), []
+        for _ in range(dice.randint(1, 80)):
+            at = (3 * at + dice.randrange(3)) % 20
+            text.append(words[at])
+        texts.append(" ".join(text))
     rows = list(enumerate(texts)) + [(1000, None), (1001, ""), (1002, "Unseen words HERE ing ing"), (3, texts[3]), (None, "bas bas")]
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 != 2
     found = lm.score_texts(documents(spark, rows), held).collect()
