@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain, islice
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -38,7 +39,9 @@ BLOCK_WORDS = 1 << 17
 LONG_TEXT = 1 << 20
 #: Words of up to so many bytes are merged by scanning, longer ones with a heap.
 SCAN_BYTES = 48
-NEVER = np.iinfo(np.int64).max
+NEVER = int(np.iinfo(np.int64).max)
+#: Between words, as a character that stands for no byte.
+GAP = "\u0100"
 
 
 def byte_letters() -> dict[int, str]:
@@ -124,19 +127,20 @@ class Coder:
         self.pair_keys = keys[order]
         self.pair_ranks = np.array([m >> 32 for m in self.merged.values()], np.int64)[order]
 
-        #: Longest entry with given first three bytes.
-        self.longest: dict[bytes, int] = {}
         reachable = ids.items()
         if ordered:
             reachable = [(t, i) for t, i in ids.items() if len(t) == 1 or rank[i]]
         self.guesses = dict(reachable)
-        for token in self.guesses:
-            head = token[:3]
-            self.longest[head] = max(self.longest.get(head, 1), len(token))
         if ordered:  # an entry that its own bytes do not encode to must not be guessed
             whole = np.array([i for t, i in self.guesses.items() if len(t) > 1], np.int64)
             for i in whole[~self.compatible(left[whole], right[whole], rank[whole])].tolist():
                 del self.guesses[self.pieces[i]]
+        #: Finds the longest entry at each place in turn; a byte is one character here.
+        self.longest = ahocorasick.Automaton()
+        for token, i in self.guesses.items():
+            self.longest.add_word(token.decode("latin-1"), i)
+        self.longest.make_automaton()
+        self.lengths = np.array([len(p) for p in self.pieces])
         self.remembered: dict[str, bytes] = {}
 
     def compatible(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | int = NEVER) -> np.ndarray:
@@ -161,21 +165,13 @@ class Coder:
             at = at[more]
         return good
 
-    def guess(self, word: bytes) -> list[int]:
-        found, at, end = [], 0, len(word)
-        guesses, longest = self.guesses, self.longest
-        while at < end:
-            to = min(end, at + longest.get(word[at : at + 3], 2))
-            while to > at + 1:
-                token = guesses.get(word[at:to])
-                if token is not None:
-                    break
-                to -= 1
-            else:
-                token = self.single[word[at]]
-            found.append(token)
-            at = to
-        return found
+    def guess(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The greedy tokens of all words, one word after the other, and the word each belongs to."""
+        found = list(self.longest.iter_long(GAP.join([w.decode("latin-1") for w in words])))
+        ends = np.fromiter((e for e, _ in found), np.int64, len(found))
+        tokens = np.fromiter((t for _, t in found), np.int64, len(found))
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        return tokens, np.searchsorted(np.cumsum(sizes), ends, "right")
 
     def merge(self, word: bytes) -> list[int]:
         """The encoding by merging step by step: the lowest rank first, then the leftmost."""
@@ -229,18 +225,22 @@ class Coder:
             for w, b in zip(new, as_bytes):
                 self.remembered[w] = np.array(self.merge(b), "<u4").tobytes()
             return
-        guesses = [self.guess(b) for b in as_bytes]
-        sizes = np.array([len(g) for g in guesses])
-        flat = np.fromiter((t for g in guesses for t in g), np.int64, sizes.sum())
-        owner = np.repeat(np.arange(len(new)), sizes)
+        flat, owner = self.guess(as_bytes)
+        sizes = np.bincount(owner, minlength=len(new))
+        covered = np.bincount(owner, self.lengths[flat], len(new))
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, back = np.unique(flat[inside] << 32 | flat[inside + 1], return_inverse=True)
         good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[back]
         failing = set(owner[inside[~good]].tolist())
+        failing.update(np.flatnonzero(covered != [len(b) for b in as_bytes]).tolist())
         data, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
         start = 0
         for i, (w, end) in enumerate(zip(new, ends)):
-            self.remembered[w] = np.array(self.merge(as_bytes[i]), "<u4").tobytes() if i in failing else data[start:end]
+            if i in failing:
+                parts = self.merge(as_bytes[i])
+                self.remembered[w] = struct.pack(f"<{len(parts)}I", *parts)
+            else:
+                self.remembered[w] = data[start:end]
             start = end
 
     def _segments(self, text: str) -> Iterator[tuple[str, int | None]]:
