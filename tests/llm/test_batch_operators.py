@@ -305,6 +305,24 @@ def test_compatible_pairs_are_those_merging_leaves_alone():
     assert 0 < sum(plain) < len(plain)
 
 
+def test_words_merged_side_by_side_are_those_merged_alone():
+    coder = bpe.Coder(bpe.load_vocabulary(TOKENIZER))
+    dice = random.Random(9)
+    words = ["".join(dice.choices("abcdeé st\0-界", k=dice.choice([0, 1, 2, 5, 8, 9, 16, 30, 70]))).encode() for _ in range(6000)]
+    words += [b"aaaaaaaaa", b"\0\0\0", b" the", b"\xff\xfe"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in coder.merge_all(words)] == [coder.merge(w) for w in words]
+    assert coder.merge_all([]) == []
+
+
+def test_ascii_words_are_cut_alike():
+    dice = random.Random(10)
+    letters = "ab'slltdrvem  \n\t\r\x0b\x0c\x1c\x1f\x00\x7f019!?_-"
+    wide, narrow = bpe.regex.compile(bpe.WORDS), bpe.re.compile(bpe.ASCII_WORDS)
+    for _ in range(3000):
+        text = "".join(dice.choices(letters, k=dice.randint(0, 40)))
+        assert wide.findall(text) == narrow.findall(text)
+
+
 def test_ids_out_of_range_decode_to_nothing():
     coder = bpe.Coder(bpe.load_vocabulary(TOKENIZER))
     assert coder.decode(np.array([-1, 10**6])) == ""

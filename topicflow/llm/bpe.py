@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import struct
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
@@ -31,14 +32,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Fixed value: how a byte-level tokenizer cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same words in a text of ASCII only, for the standard library's quicker matcher.
+ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 #: Words a task remembers before it forgets them all.
 MAX_REMEMBERED = 1 << 18
 #: Words that are encoded at a time.
 BLOCK_WORDS = 1 << 17
 #: Characters from which a text's words are not listed all at once.
 LONG_TEXT = 1 << 20
-#: Words of up to so many bytes are merged by scanning, longer ones with a heap.
+#: Words of up to so many bytes are merged side by side or by scanning, longer ones with a heap.
 SCAN_BYTES = 48
+#: Words are merged side by side with others of up to the same width, so many at a time.
+MERGE_WIDTHS = (8, 12, 16, 24, SCAN_BYTES)
+MERGE_ROWS = 1 << 12
 NEVER = int(np.iinfo(np.int64).max)
 #: Between words, as a character that stands for no byte.
 GAP = "\u0100"
@@ -95,7 +101,7 @@ class Coder:
     def __init__(self, vocabulary: Vocabulary):
         self.tokens = vocabulary.tokens
         self.added = vocabulary.added
-        self.pattern = regex.compile(WORDS)
+        self.pattern, self.ascii_pattern = regex.compile(WORDS), re.compile(ASCII_WORDS)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         ids = self.tokens
         size = max([*ids.values(), *self.added.values(), 0]) + 1
@@ -125,7 +131,8 @@ class Coder:
         keys = np.array(list(self.merged), np.int64)
         order = np.argsort(keys)
         self.pair_keys = keys[order]
-        self.pair_ranks = np.array([m >> 32 for m in self.merged.values()], np.int64)[order]
+        self.pair_outcomes = np.array(list(self.merged.values()), np.int64)[order]
+        self.pair_ranks = self.pair_outcomes >> 32
 
         reachable = ids.items()
         if ordered:
@@ -151,10 +158,7 @@ class Coder:
         good = np.ones(len(a), bool)
         at, limit = np.arange(len(a)), np.broadcast_to(limit, len(a)).copy()
         while len(at):
-            key = a * self.size + b
-            place = np.minimum(np.searchsorted(self.pair_keys, key), max(0, len(self.pair_keys) - 1))
-            across = np.where(self.pair_keys[place] == key, self.pair_ranks[place], NEVER) if len(self.pair_keys) else np.full(len(a), NEVER)
-            bad = across < limit
+            bad = self.outcomes(a, b) >> 32 < np.minimum(limit, NEVER >> 32)
             good[at[bad]] = False
             rank_a, rank_b = self.rank[a], self.rank[b]
             left_later = rank_a > rank_b
@@ -165,6 +169,14 @@ class Coder:
             at = at[more]
         return good
 
+    def outcomes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and outcome of merging each ``a`` and ``b``; ``NEVER`` where they do not merge."""
+        if not len(self.pair_keys):
+            return np.full(len(a), NEVER)
+        key = a * self.size + b
+        place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[place] == key, self.pair_outcomes[place], NEVER)
+
     def guess(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The greedy tokens of all words, one word after the other, and the word each belongs to."""
         found = list(self.longest.iter_long(GAP.join([w.decode("latin-1") for w in words])))
@@ -193,6 +205,61 @@ class Coder:
                 ranks[at] = get(parts[at] * size + parts[at + 1], NEVER)
         return parts
 
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The encodings of many words, as ids in four bytes each; words of like length are merged side by side."""
+        found = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        for i in np.flatnonzero(sizes > SCAN_BYTES).tolist():
+            parts = self.merge(words[i])
+            found[i] = struct.pack(f"<{len(parts)}I", *parts)
+        low = -1
+        for width in MERGE_WIDTHS:
+            at = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            for start in range(0, len(at), MERGE_ROWS):
+                own = at[start : start + MERGE_ROWS]
+                parts = self._merge_rows([words[i] for i in own.tolist()], sizes[own], width)
+                live = parts >= 0
+                data, ends = parts[live].astype("<u4").tobytes(), (4 * np.cumsum(live.sum(axis=1))).tolist()
+                for i, a, b in zip(own.tolist(), [0, *ends], ends):
+                    found[i] = data[a:b]
+        return found
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
+        """The tokens of words of at most ``width`` bytes, a word in each row, -1 where there is none.
+
+        Every round does each word's first merge: the lowest rank, then the leftmost place.
+        """
+        n, across = len(words), width + 2  # a column at each end stands for no token
+        letters = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
+        parts = np.full((n, across), -1, np.int64)
+        parts[:, 1:-1] = np.where(np.arange(width) < sizes[:, None], np.array(self.single, np.int64)[letters], -1)
+        first = np.full((n, across), NEVER)
+        row, column = np.nonzero(parts[:, 1:] >= 0)
+        pair = column + 1 < sizes[row]
+        row, column = row[pair], column[pair] + 1
+        first[row, column] = self.outcomes(parts[row, column], parts[row, column + 1])
+        parts, first = parts.ravel(), first.ravel()
+        after, before = np.arange(1, n * across + 1), np.arange(-1, n * across - 1)
+        rows = np.arange(n)
+        while len(rows):
+            best = first.reshape(n, across)[rows].argmin(axis=1)
+            at = rows * across + best
+            live = first[at] != NEVER
+            rows, at = rows[live], at[live]
+            gone = after[at]
+            parts[at] = first[at] & 0xFFFFFFFF
+            parts[gone] = -1
+            first[gone] = NEVER
+            right, left = after[gone], before[at]
+            after[at], before[right] = right, at
+            for x, y in ((at, right), (left, at)):
+                both = (parts[x] >= 0) & (parts[y] >= 0)
+                first[x[~both]] = NEVER
+                x, y = x[both], y[both]
+                first[x] = self.outcomes(parts[x], parts[y])
+        return parts.reshape(n, across)
+
     def _merge_long(self, parts: list[int]) -> list[int]:
         n, size, merged = len(parts), self.size, self.merged
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -222,8 +289,7 @@ class Coder:
             return
         as_bytes = [w.encode() for w in new]
         if not self.speculate:
-            for w, b in zip(new, as_bytes):
-                self.remembered[w] = np.array(self.merge(b), "<u4").tobytes()
+            self.remembered.update(zip(new, self.merge_all(as_bytes)))
             return
         flat, owner = self.guess(as_bytes)
         sizes = np.bincount(owner, minlength=len(new))
@@ -231,17 +297,12 @@ class Coder:
         inside = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, back = np.unique(flat[inside] << 32 | flat[inside + 1], return_inverse=True)
         good = self.compatible(pairs >> 32, pairs & 0xFFFFFFFF)[back]
-        failing = set(owner[inside[~good]].tolist())
-        failing.update(np.flatnonzero(covered != [len(b) for b in as_bytes]).tolist())
+        fails = covered != np.fromiter(map(len, as_bytes), np.int64, len(new))
+        fails[owner[inside[~good]]] = True
         data, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
-        start = 0
-        for i, (w, end) in enumerate(zip(new, ends)):
-            if i in failing:
-                parts = self.merge(as_bytes[i])
-                self.remembered[w] = struct.pack(f"<{len(parts)}I", *parts)
-            else:
-                self.remembered[w] = data[start:end]
-            start = end
+        self.remembered.update((w, data[a:b]) for w, a, b in zip(new, [0, *ends], ends))
+        failing = np.flatnonzero(fails).tolist()
+        self.remembered.update(zip((new[i] for i in failing), self.merge_all([as_bytes[i] for i in failing])))
 
     def _segments(self, text: str) -> Iterator[tuple[str, int | None]]:
         """(text, None) and (special token, its id) in turn."""
@@ -258,7 +319,7 @@ class Coder:
             if special is not None:
                 yield special
             elif len(segment) < LONG_TEXT:
-                yield self.pattern.findall(segment)
+                yield (self.ascii_pattern if segment.isascii() else self.pattern).findall(segment)
             else:
                 words = (m.group() for m in self.pattern.finditer(segment))
                 while block := list(islice(words, BLOCK_WORDS)):
