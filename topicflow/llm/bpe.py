@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same words in a text of ASCII only, for the standard library's quicker matcher.
 ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
-#: Words a task remembers before it forgets them all.
+#: Words a task remembers before it forgets those it has not met since the last time.
 MAX_REMEMBERED = 1 << 18
 #: Words that are encoded at a time.
 BLOCK_WORDS = 1 << 17
@@ -148,7 +148,9 @@ class Coder:
             self.longest.add_word(token.decode("latin-1"), i)
         self.longest.make_automaton()
         self.lengths = np.array([len(p) for p in self.pieces])
+        #: Words met lately, and those met before them; a word that is met again moves from the second to the first.
         self.remembered: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def compatible(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | int = NEVER) -> np.ndarray:
         """Whether no merge across the boundary of tokens ``a`` and ``b`` comes before those that make them.
@@ -283,8 +285,11 @@ class Coder:
     def learn(self, words: Iterable[str]) -> None:
         """Encode words that are not remembered, all of them together."""
         if len(self.remembered) > MAX_REMEMBERED:
-            self.remembered = {}
-        new = [w for w in set(words) if w not in self.remembered]
+            self.older, self.remembered = self.remembered, {}
+        unmet = set(words).difference(self.remembered)
+        again = unmet.intersection(self.older)
+        self.remembered.update((w, self.older[w]) for w in again)
+        new = list(unmet - again)
         if not new:
             return
         as_bytes = [w.encode() for w in new]
