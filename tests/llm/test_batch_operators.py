@@ -216,6 +216,50 @@ def test_one_row_of_a_group_stays(spark):
     assert simhash.keep_one(df.limit(0)).count() == 0
 
 
+def five_word_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def rows_left(texts):
+    """The first text of each component of the links of at least 0.8, by comparing all pairs."""
+    sets = [five_word_shingles(t) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b) > 0:
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    return {i for i in range(len(texts)) if root(i) == i}
+
+
+def test_only_texts_that_share_their_shingles_are_copies(spark):
+    dice = random.Random(13)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(15):
+        base = dice.choices(words, k=100)
+        texts.append(" ".join(base))
+        texts.append(" ".join(dice.sample(base, len(base))))  # the same words in another order
+        texts.append(" ".join(dice.sample(base, len(base))))
+        chain = list(base)  # each is a copy of the one before, the last not of the first
+        for at in (10, 30, 50, 70):
+            chain[at] = chain[at - 1]
+            texts.append(" ".join(chain))
+        far = list(base)
+        for at in range(5, 100, 12):
+            far[at] = far[at - 1]
+        texts.append(" ".join(far))
+    dice.shuffle(texts)
+    kept = {r.doc_id for r in simhash.keep_one(documents(spark, list(enumerate(texts)))).collect()}
+    assert kept == rows_left(texts)
+
+
 # --- language model ---------------------------------------------------------------
 
 
