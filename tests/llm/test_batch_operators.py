@@ -534,6 +534,17 @@ def test_toxicity(spark):
     assert lexicon.weight("ink blotch") == 0 or "blotch" not in lexicon.weights
 
 
+def test_copies_of_long_toxic_texts_push_no_term_out(spark):
+    rows, labels = toxic_rows()
+    for of in range(2):  # their words, with their stems, are more than there used to be places
+        long = " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + of)}quormstel{chr(97 + i // 676)}" for i in range(1200))
+        rows += [(1000 + 200 * of + i, long) for i in range(150)]
+        labels += [(1000 + 200 * of + i, 1) for i in range(150)]
+    lexicon = toxicity.learn(documents(spark, rows, extra=False), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert {"grubber", "snarkie"} <= set(lexicon.weights)
+    assert not any("quorm" in term for term in lexicon.weights)
+
+
 def test_no_labels_reject_nothing(spark):
     rows, labels = toxic_rows()
     none = spark.createDataFrame([], "doc_id long, toxic int")

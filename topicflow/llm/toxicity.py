@@ -10,7 +10,8 @@ The lexicon, its weights, the exceptions and the probability's three coefficient
 learned from labelled rows: from all of them, or from ``MAX_LABELLED`` taken by a hash of
 their id.  A term's support is counted in families of texts that share the smallest hash of
 their words, so that many copies of one toxic text do not make a term of each of its
-words.
+words.  All terms with support are taken: there are no more of them than a ``MIN_SUPPORT``-th
+of the candidates of the toxic labelled texts.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ from topicflow.llm.common import fresh_name, written
 
 #: At most so many labelled rows are learned from.
 MAX_LABELLED = 1 << 15
-MAX_TERMS = 4096
 MAX_EXCEPTIONS = 4096
 #: A term needs so many families of toxic texts ...
 MIN_SUPPORT = 5
@@ -213,16 +213,19 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexi
     if not clean or not toxic:
         return Lexicon()
 
-    seen = _counted(rows, lambda text, label: {(w, label) for w in candidates(text)}, "term string, toxic long")
+    def found_in(text: str, label: int) -> set[tuple[str, int, int]]:
+        of = family(text) if label else 0  # clean texts need no families
+        return {(w, label, of) for w in candidates(text)}
+
+    seen = _counted(rows, found_in, "term string, toxic long, family long")
     by_term = seen.groupBy("term").agg(
-        F.sum(F.expr("IF(toxic = 1, n, 0)")).alias("toxic"), F.sum(F.expr("IF(toxic = 0, n, 0)")).alias("clean")
+        F.sum(F.expr("IF(toxic = 1, n, 0)")).alias("toxic"),
+        F.sum(F.expr("IF(toxic = 0, n, 0)")).alias("clean"),
+        F.count_if(F.col("toxic") == 1).alias("families"),
     )
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    terms = (
-        by_term.withColumn("weight", odds)
-        .where((F.col("toxic") >= MIN_SUPPORT) & (F.col("weight") >= MIN_WEIGHT) & (F.length("term") > 2))
-        .orderBy(F.desc("toxic"), "term")
-        .limit(MAX_TERMS)
+    terms = by_term.withColumn("weight", odds).where(
+        (F.col("families") >= MIN_SUPPORT) & (F.col("weight") >= MIN_WEIGHT) & (F.length("term") > 2)
     )
     lexicon = Lexicon({r["term"]: min(r["weight"], MAX_WEIGHT) for r in terms.collect()})
 
