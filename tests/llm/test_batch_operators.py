@@ -489,6 +489,36 @@ def test_mixing(spark):
         mixing.mix_sources(df, weights={"s1": 1.0}, size=10_000.0)
 
 
+def test_a_source_of_one_row_among_many(spark):
+    """Derived rates have no limit, and large ones are the SQL's."""
+    n = 5000  # equal shares give the rate that the default gives at about 6 million rows
+    source = F.when(F.col("id") == 77, F.lit(None)).otherwise(F.lit("web")).cast("string")
+    df = spark.range(n).select(F.col("id").alias("doc_id"), source.alias("source"))
+    found = mixing.mix_sources(df, temperature=0.0).groupBy("source").count().collect()
+    rate = n / 2
+    u = (int(hashlib.md5(b"mix|77").hexdigest()[:13], 16) + 0.5) / 2**52
+    got = {r.source: r["count"] for r in found}
+    assert rate > mixing.MAX_RATE and got[None] == plain_large_poisson(u, rate)
+    assert abs(got["web"] - (n - rate)) < 6 * math.sqrt(n)
+
+
+def plain_large_poisson(u, rate):
+    k, total = 0, 0.0
+    while True:
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        if total >= u:
+            return k
+        k += 1
+
+
+@pytest.mark.parametrize("rate", [0.001, 1.5, 399.9, 400.0, 1048.0, 31_000.0])
+def test_counts_are_those_of_the_whole_distribution(spark, rate):
+    column = F.lit(rate)
+    row = spark.range(1).select(mixing.cumulative(column).alias("cdf"), mixing.least_count(column).alias("least")).first()
+    draws = [(i + 0.5) / 20 for i in range(20)] + [2**-53, 1e-9, 1 - 1e-6]
+    assert [row.least + sum(c < u for c in row.cdf) for u in draws] == [plain_large_poisson(u, rate) for u in draws]
+
+
 # --- toxicity ---------------------------------------------------------------------
 
 

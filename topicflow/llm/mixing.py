@@ -21,8 +21,11 @@ from topicflow.llm.common import fresh_name
 SEED = "mix"
 #: Without given weights a source weighs as its number of documents to this power.
 TEMPERATURE = 0.5
-#: Above it a document would be repeated so often that the rate is surely a mistake.
+#: Above it a document would be repeated so often that the given weights are surely a mistake.  Weights that
+#: follow from the sources' sizes have no limit: at the default temperature no rate is above the root of the rows.
 MAX_RATE = 1000
+#: From this rate on the probabilities of counts far below it are left out.
+LARGE_RATE = 400
 
 
 def _key(source: str) -> Column:
@@ -64,24 +67,26 @@ def uniform(seed: str, id: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def least_count(rate: Column) -> Column:
+    """The count from which ``cumulative`` starts; what lies below has a probability under 1e-20."""
+    return F.when(rate < LARGE_RATE, F.lit(0)).otherwise(F.floor(rate - 10 * F.sqrt(rate) - 25).cast("int"))
+
+
 def cumulative(rate: Column) -> Column:
-    """Poisson probabilities of at most 0, 1, 2, ... up to where the rest is below 1e-16."""
+    """Poisson probabilities of at most k, from ``least_count`` up to where the rest is below 1e-16."""
     last = F.ceil(rate + 10 * F.sqrt(rate) + 25).cast("int")
-
-    def term(k: Column) -> Column:
-        log_factorial = F.aggregate(
-            F.when(k > 0, F.sequence(F.lit(1), F.greatest(k, F.lit(1)))).otherwise(F.array().cast("array<int>")),
-            F.lit(0.0),
-            lambda total, i: total + F.log(i.cast("double")),
-        )
-        return F.exp(k * F.log(rate) - rate - log_factorial)
-
-    terms = F.transform(F.sequence(F.lit(0), last), term)
-    sums = F.aggregate(
-        terms,
-        F.array().cast("array<double>"),
-        lambda done, p: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0.0)) + p)),
-    )
+    low = least_count(rate)
+    # exp(low * ln(rate) - rate) / low!, the factorial by Stirling's series, as it is that of 0 or of 175 and more
+    large = low * F.log(rate / low) + (low - rate) - 0.5 * F.log(2 * math.pi * low) - 1 / (12 * low) + 1 / (360 * F.pow(low.cast("double"), F.lit(3.0)))
+    first = F.exp(F.when(rate < LARGE_RATE, -rate).otherwise(large))
+
+    def add(done: Column, k: Column) -> Column:
+        p = done["p"] * rate / k
+        total = done["total"] + p
+        return F.struct(p.alias("p"), total.alias("total"), F.concat(done["sums"], F.array(total)).alias("sums"))
+
+    start = F.struct(first.alias("p"), first.alias("total"), F.array(first).alias("sums"))
+    sums = F.aggregate(F.sequence(low + 1, last), start, add, lambda done: done["sums"])
     return F.when(rate > 0, sums).otherwise(F.array(F.lit(1.0)))
 
 
@@ -104,15 +109,15 @@ def mix_sources(
     """
     rates = source_rates(df, source, weights, temperature, size)
     highest = rates.agg(F.max("rate")).first()[0]
-    if highest is not None and (highest > MAX_RATE or math.isnan(highest)):
+    if weights is not None and highest is not None and (highest > MAX_RATE or math.isnan(highest)):
         raise ValueError(f"a source would be repeated {highest:.0f} times; the limit is {MAX_RATE}")
-    key, cdf, number = (fresh_name(df, n) for n in ("_source_key", "_cdf", "_copy"))
+    key, cdf, least, number = (fresh_name(df, n) for n in ("_source_key", "_cdf", "_least", "_copy"))
     order_key = order or fresh_name(df, "_order")
     # one row per source; Spark broadcasts them while their measured size allows, else splits the hot source
-    table = rates.select(F.col("source_key").alias(key), cumulative(F.col("rate")).alias(cdf))
+    table = rates.select(F.col("source_key").alias(key), cumulative(F.col("rate")).alias(cdf), least_count(F.col("rate")).alias(least))
     rows = df.withColumn(key, _key(source)).join(table, key)
     draw = uniform(seed, F.col(id))
-    times = F.size(F.filter(F.col(cdf), lambda c: c < draw))
+    times = F.col(least) + F.size(F.filter(F.col(cdf), lambda c: c < draw))
     copies = rows.select(
         *df.columns, F.explode(F.when(times > 0, F.sequence(F.lit(1), times))).alias(number)
     )
