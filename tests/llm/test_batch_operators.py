@@ -3,10 +3,13 @@
 import collections
 import hashlib
 import math
+import os
 import random
+import re
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -16,6 +19,7 @@ from topicflow.session import work_dir
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 DOCS = "doc_id long, text string"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 def documents(spark, rows, extra=True):
@@ -121,6 +125,37 @@ def test_licences(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_reserved_rights_stop_inheritance_and_licences_go_before_them(spark):
+    bsd = licenses.TEMPLATES["BSD-3-Clause"][1]
+    rows = [
+        (1, "a/LICENSE", "Released under the MIT License."),
+        (2, "a/x.txt", "some words\nAll rights reserved.\nmore words"),
+        (3, "a/y.txt", f"Copyright 2020 Some One\nAll rights reserved.\n\n{bsd}"),
+        (4, "a/NOTICE", "All rights reserved."),
+        (5, "a/z.txt", "plain words"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = {r.doc_id: (r.license, r.basis) for r in licenses.scan_licenses(df).collect()}
+    reserved = (licenses.RESERVED, "own")
+    assert found == {1: ("MIT", "own"), 2: reserved, 3: ("BSD-3-Clause", "own"), 4: reserved, 5: ("MIT", "inherited")}
+
+
+def test_every_notice_line_of_the_documents_is_met():
+    texts = [t or "" for t in pq.read_table(f"{SF_DIR}/documents.parquet", columns=["text"]).column(0).to_pylist()]
+    notice = re.compile(r"(?i)^.{0,40}(licen[cs]ed under|released under the|all rights reserved|permission is hereby)")
+    lines = {line.strip() for t in texts for line in t.split("\n") if len(line) < 120 and notice.search(line)}
+    scanner = licenses.Scanner(licenses.TEMPLATES, len(texts), {})
+    assert "All rights reserved." in lines
+    assert [line for line in lines if scanner.scan(line)[0] is None] == []
+
+
+@pytest.mark.parametrize("name, text", [(n, t) for n, ts in licenses.TEMPLATES.items() for t in ts])
+def test_each_template_is_its_own_licence(name, text):
+    scanner = licenses.Scanner(licenses.TEMPLATES, 1000, {"the": 900, "and": 900, "of": 900, "license": 40})
+    found = scanner.scan(text)
+    assert found[1] > 0.99 and (found[0] == name or text in licenses.TEMPLATES[found[0]])
+
+
 def test_anchors_skip_nothing_that_counts():
     dice = random.Random(1)
     words = sorted(licenses.vocabulary(licenses.TEMPLATES)) + ["foo", "bar"]

@@ -55,13 +55,63 @@ TEMPLATES: dict[str, list[str]] = {
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met",
+        "Licensed under the BSD 3-Clause License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission.",
+    ],
+    "BSD-2-Clause": [
+        "Licensed under the BSD 2-Clause License.",
+        "Released under the Simplified BSD License.",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+        "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "ISC": [
+        "Released under the ISC License.",
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "Unlicense": [
+        "Released under the Unlicense.",
+        "This is free and unencumbered software released into the public domain.",
+    ],
+    "CC0-1.0": [
+        "Licensed under CC0 1.0.",
+        "This work is licensed under the Creative Commons CC0 1.0 Universal Public Domain Dedication.",
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under the Creative Commons Attribution 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "All-Rights-Reserved": ["All rights reserved.", "Copyright (c). All rights reserved.", "Copyright ©. All rights reserved."],
 }
+#: Stands beside licences too, as in BSD's copyright line, so any other notice goes before it.
+RESERVED = "All-Rights-Reserved"
 
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 EDGES = string.punctuation + "“”‘’«»"
@@ -135,18 +185,21 @@ class Scanner:
         return min(1.0, dots[place] / norm), self.templates[place][0]
 
     def scan(self, text: str | None, whole: bool = False) -> tuple[str | None, float | None]:
-        """The licence and cosine of the best line, block, or with ``whole`` also the whole text."""
+        """The licence and cosine of the best line, block, or with ``whole`` also the whole text; reserved rights only if there is no other."""
         lower = (text or "").lower()
         if not self.find.search(lower):
             return None, None
         best: tuple[float, str] | None = None
 
+        def rank(found: tuple[float, str]) -> tuple[bool, float, str]:
+            return found[1] == RESERVED, -found[0], found[1]
+
         def meet(counts: Counter) -> None:
             nonlocal best
             if self.anchors.isdisjoint(counts):
                 return
             found = self.compare(counts)
-            if found and found[0] >= self.threshold and (best is None or (-found[0], found[1]) < (-best[0], best[1])):
+            if found and found[0] >= self.threshold and (best is None or rank(found) < rank(best)):
                 best = found
 
         everything: Counter = Counter()
@@ -194,7 +247,8 @@ def scan_licenses(
 
     ``basis``: ``own`` for a notice in the text, ``inherited`` from the licence file of a
     directory ``distance`` levels above the file's (0: its own), or null for none.  Of several
-    licence files in a directory the best match counts, ties to the first name.  A null path
+    licence files in a directory the best match counts, ties to the first name.  Reserved rights
+    are a notice like any other, but count only where there is no licence beside them.  A null path
     is at the root and no licence file; null and empty texts have no notice; repeated rows
     are scanned each.  An empty table gives no rows.
     """
@@ -212,7 +266,7 @@ def scan_licenses(
     )
     rows = written(rows.select("doc_id", "path", "dir", "is_file", "own.license", "own.score"), "scanned")
     held = rows.where("is_file AND license IS NOT NULL").groupBy(F.col("dir").alias("at")).agg(
-        F.min(F.struct(-F.col("score"), F.col("license").alias("license"))).alias("best")
+        F.min(F.struct(F.col("license") == RESERVED, -F.col("score"), F.col("license").alias("license"))).alias("best")
     )
     dirs = rows.where("license IS NULL").select("dir").distinct()  # a row for each directory, however many files it has
     above = dirs.select("dir", F.explode(ancestors(F.col("dir"))).alias("up")).select("dir", "up.at", "up.distance")
