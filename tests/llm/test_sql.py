@@ -13,7 +13,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", list(SQL))
 def test_same_rows_as_the_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = duck.execute(SQL[name])
     names = sorted(d[0] for d in result.description)

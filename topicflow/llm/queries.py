@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from topicflow.llm import ann, bpe, licenses, lm, mixing, sharding, simhash, topk, toxicity, warc
+from topicflow.llm import ann, bpe, divergence, exact, filters, licenses, lm, mixing, sharding, simhash, topk, toxicity, warc
 from topicflow.llm.common import table
 from topicflow.session import work_dir
 
@@ -154,6 +154,102 @@ def op10_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    r"""
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, CAST(count(*) OVER same AS BIGINT) AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
+    FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+    WINDOW same AS (PARTITION BY norm)
+    """
+)
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query(
+    r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+    ), words AS (
+        SELECT lang, source, d, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+    ), terms AS (
+        SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 30
+    ), counts AS (
+        SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN terms USING (lang, term) GROUP BY lang, source, term
+    ), sources AS (
+        SELECT DISTINCT lang, source FROM docs
+    ), cells AS (
+        SELECT lang, source, term, total, coalesce(n, 0) AS n
+        FROM sources JOIN terms USING (lang) LEFT JOIN counts USING (lang, source, term)
+    ), shares AS (
+        SELECT lang, source, term, n,
+               1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // (sum(n) OVER own + 5 * count(*) OVER own) AS p,
+               1 + (CAST(1000000000 AS HUGEINT) * (total + 5)) // (sum(total) OVER own + 5 * count(*) OVER own) AS q
+        FROM cells WINDOW own AS (PARTITION BY lang, source)
+    ), items AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(s.p - t.p)), 0) AS value
+        FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN shares s ON s.lang = a.lang AND s.source = a.source
+        LEFT JOIN shares t ON t.lang = b.lang AND t.source = b.source AND t.term = s.term
+        WHERE s.term IS NULL OR t.term IS NOT NULL
+        GROUP BY ALL
+        UNION ALL
+        SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM items
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 50
+    """
+)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
+@query(
+    r"""
+    WITH words AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+    ), flags AS (
+        SELECT doc_id, part,
+               CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+               + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+               + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+               + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+               + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS failed FROM words
+    ), cells AS (
+        SELECT part, failed, count(*) AS n, count(*) FILTER (quality = 1) AS good, count(*) FILTER (toxic = 1) AS toxic
+        FROM flags LEFT JOIN labels USING (doc_id) GROUP BY part, failed
+    ), filters AS (
+        SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS name, unnest([1, 2, 4, 8, 16]) AS bit
+    ), orders AS (
+        SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+        FROM filters a, filters b, filters c, filters d, filters e WHERE a.bit | b.bit | c.bit | d.bit | e.bit = 31
+    ), walked AS (
+        SELECT filter_order, step, bits[step] AS bit, CAST(list_sum(bits[1:step]) AS BIGINT) AS after FROM orders, range(1, 6) r(step)
+    ), counted AS (
+        SELECT part, filter_order, step, bit,
+               sum(CASE WHEN failed & after = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN failed & after = bit THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN failed & bit = bit AND failed & after <> bit THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN failed = bit THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN failed & after = bit THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN failed & after = bit THEN toxic ELSE 0 END) AS toxic_lost
+        FROM cells, walked GROUP BY part, filter_order, step, bit
+    )
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+    FROM counted
+    """
+)
+def op13_gray_code_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return filters.filter_audit(docs, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
