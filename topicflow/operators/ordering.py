@@ -19,6 +19,11 @@ from topicflow.session import work_dir
 PLACE_BITS = 33
 
 
+def dealt(df: DataFrame, order: Sequence[str | Column], ranges: int) -> DataFrame:
+    """The rows in ranges of the order, one after the other and sorted within."""
+    return df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+
+
 def numbered(
     df: DataFrame, order: Sequence[str | Column], out: str = "seq", start: int = 0, ranges: int | None = None
 ) -> DataFrame:
@@ -34,8 +39,7 @@ def numbered(
     spark = df.sparkSession
     count = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = work_dir(spark, "numbered")
-    dealt = df.repartitionByRange(count, *order).sortWithinPartitions(*order)
-    dealt.withColumn(out, F.monotonically_increasing_id()).write.parquet(path)
+    dealt(df, order, count).withColumn(out, F.monotonically_increasing_id()).write.parquet(path)
     stored = spark.read.schema(df.select("*", F.lit(0).cast("bigint").alias(out)).schema).parquet(path)
 
     part, place = F.shiftright(out, PLACE_BITS), F.col(out).bitwiseAND((1 << PLACE_BITS) - 1)

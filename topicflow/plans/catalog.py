@@ -10,8 +10,8 @@ from topicflow.functions.wire import decode_long, long_hex
 from topicflow.operators import changelog, pairs, records, tables, tokens
 from topicflow.plans import flows, inputs
 from topicflow.session import work_dir
-from topicflow.sources import sinks, topics
-from topicflow.streaming import changelog as live, jobs, state
+from topicflow.sources import once, progress, sinks, topics
+from topicflow.streaming import changelog as live, jobs, metrics, processors, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -207,6 +207,78 @@ def rekeyed_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.rekey(rows, F.col("message")).select("key", "offset", "partition")
 
 
+@query(
+    """SELECT topic, "partition", "offset", "key", "value", seq - 1 AS seq
+       FROM (SELECT 'events' AS topic, CAST(event_id % 3 AS INTEGER) AS "partition", event_id // 3 AS "offset",
+                    CAST(user_id AS VARCHAR) AS "key", props AS "value",
+                    row_number() OVER (ORDER BY date_trunc('hour', ts), event_id % 3, event_id // 3) AS seq FROM events)"""
+)
+def ordered_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event topic numbered by (broker time, partition, offset)."""
+    rows = topics.with_time_order(inputs.timed_events(inputs.batch_reader(spark, sf_dir)))
+    return rows.select("topic", "partition", "offset", "key", "value", "seq")
+
+
+def _by_offset(rows: DataFrame, pieces: int) -> list[DataFrame]:
+    """A topic in consecutive pieces, as it has grown."""
+    last = rows.agg(F.max("offset")).first()[0] or 0
+    width = last // pieces + 1
+    return [rows.where((F.col("offset") >= i * width) & (F.col("offset") < (i + 1) * width)) for i in range(pieces)]
+
+
+@query(f"""SELECT "key", message AS "value", "partition", "offset" FROM ({_EVENT_TOPIC})""")
+def committed_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded reads of a growing topic: one is done, one fails before its commit and is done again by a new reader."""
+    topic, out, log = work_dir(spark, "topic"), work_dir(spark, "read"), work_dir(spark, "log")
+    rows = inputs.events(inputs.batch_reader(spark, sf_dir))
+
+    def present() -> DataFrame:
+        return topics.read_topic(spark, topic)
+
+    def handle(found: DataFrame, number: int) -> None:
+        found.write.mode("overwrite").parquet(f"{out}/read={number}")
+
+    first, second, third = _by_offset(rows, 3)
+    reader = progress.ReadLog(spark, log)
+    first.write.parquet(topic)
+    reader.drain(present, handle)
+    second.write.mode("append").parquet(topic)
+    lost = reader.begin(present())
+    if lost:
+        handle(lost.of(present()).limit(1), lost.number)  # some of its rows are written, and then it stops
+    third.write.mode("append").parquet(topic)
+    progress.ReadLog(spark, log).drain(present, handle)
+    return spark.read.schema(rows.schema).parquet(out).select("key", "value", "partition", "offset")
+
+
+@query(_EVENT_TOPIC)
+def once_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A producer's batches, one of them delivered again in part and one as a whole, read once each."""
+    topic, root = work_dir(spark, "topic"), work_dir(spark, "once")
+    rows = inputs.events(inputs.batch_reader(spark, sf_dir))
+    pieces = [once.marked(piece, "events", i) for i, piece in enumerate(_by_offset(rows, 3))]
+    half = pieces[1].agg((F.min("offset") + F.max("offset")) / 2).first()[0] or 0
+    for delivered in (pieces[0], pieces[1].where(F.col("offset") < half), pieces[1], pieces[0], pieces[2]):
+        delivered.write.mode("append").parquet(topic)
+        job = once.start_once(topics.stream_topic(spark, topic, pieces[0].schema), root).wait()
+    return topics.translate(jobs.read_rows(spark, job))
+
+
+@query(
+    f"""SELECT row_number() OVER (ORDER BY piece) - 1 AS batch_id, count(*) AS "rows", max("offset") AS last
+        FROM (SELECT "offset", "offset" // (max("offset") OVER () // 3 + 1) AS piece FROM ({_EVENT_TOPIC})) GROUP BY piece"""
+)
+def stream_peeked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a peek has seen of each micro-batch of a topic that grows in three pieces."""
+    topic, root, seen = work_dir(spark, "topic"), work_dir(spark, "peeked"), work_dir(spark, "seen")
+    with metrics.PeekRecorder(spark, seen, "passing") as recorder:
+        for piece in _by_offset(inputs.events(inputs.batch_reader(spark, sf_dir)), 3):
+            piece.write.mode("append").parquet(topic)
+            rows = sinks.peek(topics.stream_topic(spark, topic), "passing", last=F.max("offset"))
+            recorder.wait(jobs.start_append(rows, root).query)
+    return metrics.peeked(spark, seen, "rows bigint, last bigint").select("batch_id", "rows", "last")
+
+
 # --- words ------------------------------------------------------------------------
 
 
@@ -280,7 +352,7 @@ def _running_rows(counted: DataFrame) -> DataFrame:
 @query(_CONVERSATION_COUNTS)
 def stream_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = flows.unicode_word_count(inputs.conversations(inputs.stream_reader(spark, sf_dir)))
-    job = jobs.start_table(table, work_dir(spark, "words")).wait()
+    job = jobs.start_table(table, work_dir(spark, "words"), keys=["word"]).wait()
     return jobs.read_table(spark, job, ["word"])
 
 
@@ -305,7 +377,8 @@ def stream_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_space_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = flows.space_word_count(inputs.conversations(inputs.stream_reader(spark, sf_dir)))
-    return jobs.read_table(spark, jobs.start_table(table, work_dir(spark, "space-words")).wait(), ["word"])
+    job = jobs.start_table(table, work_dir(spark, "space-words"), keys=["word"]).wait()
+    return jobs.read_table(spark, job, ["word"])
 
 
 @query(f'SELECT topic, "offset", "key", message, "partition", pos, word FROM ({_conversation_words(_space_parts("text"))})')
@@ -340,6 +413,45 @@ def resumed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_table(spark, job, ["word"])
 
 
+@query(_CONVERSATION_COUNTS)
+def compacted_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts over three micro-batches in a table that holds each word once."""
+    root = work_dir(spark, "compacted-words")
+
+    def start(topic: DataFrame) -> jobs.Job:
+        return jobs.start_table(flows.unicode_word_count(topic), root, keys=["word"], compact_every=1)
+
+    return jobs.read_table(spark, _resumed(spark, _conversations(spark, sf_dir), start, [2, 0, 1]), ["word"])
+
+
+@query(
+    f"""WITH words AS (
+            SELECT word, (seq - min(seq) OVER ()) // ((max(seq) OVER () - min(seq) OVER ()) // {PIECES} + 1) AS batch_id
+            FROM ({_conversation_words(_unicode_parts("text"))})
+        )
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, 'update' AS change_type, word,
+               CAST(sum(count(*)) OVER (PARTITION BY word ORDER BY batch_id) AS BIGINT) AS n
+        FROM words GROUP BY batch_id, word"""
+)
+def stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three micro-batches has changed in the state store."""
+    root = work_dir(spark, "changed-words")
+    rows = _conversations(spark, sf_dir)
+    job = _resumed(spark, rows, lambda topic: jobs.start_table(flows.unicode_word_count(topic), root, keys=["word"]), [0, 1, 2])
+    return state.count_changes(spark, job, 0, PIECES - 1).drop("partition_id")
+
+
+@query(_running_words(_conversation_words(_unicode_parts("text"))))
+def state_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running counts from the state store, over three micro-batches."""
+    root = work_dir(spark, "state-words")
+
+    def start(topic: DataFrame) -> jobs.Job:
+        return jobs.start_append(processors.running_count(tokens.unicode_tokens(topic).drop("value")), root)
+
+    return _running_rows(jobs.read_rows(spark, _resumed(spark, _conversations(spark, sf_dir), start, [0, 1, 2])))
+
+
 # --- colours ----------------------------------------------------------------------
 
 
@@ -417,6 +529,21 @@ def resumed_running_color_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_rows(spark, _resumed_colours(spark, sf_dir))
 
 
+@query(_COLOUR_COUNTS)
+def linked_favourite_color(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs with a topic of changes between them; the second stops for a while and catches up."""
+    changes, counts, path = (work_dir(spark, name) for name in ("changes", "change-counts", "pieces"))
+    lines = _lines(spark, sf_dir)
+    low, high = lines.agg(F.min("seq"), F.max("seq")).first()
+    half = ((low or 0) + (high or 0)) // 2
+    for i, piece in enumerate((F.col("seq") < half // 2, F.col("seq").between(half // 2, half), F.col("seq") > half)):
+        lines.where(piece).write.mode("append").parquet(path)
+        first = live.start_changes(_updates(topics.stream_topic(spark, path, lines.schema)), changes).wait()
+        if i != 1:
+            second = live.start_change_counts(spark, first, counts).wait()
+    return jobs.read_table(spark, second, ["value"])
+
+
 # --- balances ---------------------------------------------------------------------
 
 
@@ -432,7 +559,7 @@ def running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _balance_job(spark: SparkSession, sf_dir: str) -> jobs.Job:
     table = flows.latest_balance(inputs.account_events(inputs.stream_reader(spark, sf_dir)))
-    return jobs.start_table(table, work_dir(spark, "balances")).wait()
+    return jobs.start_table(table, work_dir(spark, "balances"), keys=["key"]).wait()
 
 
 @query(_LATEST_BALANCE)
@@ -466,6 +593,27 @@ def resumed_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.read_rows(spark, job)
 
 
+@query(_RUNNING_BALANCE)
+def state_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running balances from the state store, over three micro-batches."""
+    root = work_dir(spark, "state-balances")
+    rows = inputs.account_events(inputs.batch_reader(spark, sf_dir)).drop("name")
+    job = _resumed(spark, rows, lambda events: jobs.start_append(processors.running_balance(events), root), [0, 1, 2])
+    return jobs.read_rows(spark, job)
+
+
+@query(_LATEST_BALANCE)
+def compacted_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts over three micro-batches in a table that holds each account once."""
+    root = work_dir(spark, "compacted-balances")
+    rows = inputs.account_events(inputs.batch_reader(spark, sf_dir))
+
+    def start(events: DataFrame) -> jobs.Job:
+        return jobs.start_table(flows.latest_balance(events), root, keys=["key"], compact_every=1)
+
+    return jobs.read_table(spark, _resumed(spark, rows, start, [0, 1, 2]), ["key"])
+
+
 # --- records ----------------------------------------------------------------------
 
 

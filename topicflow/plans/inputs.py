@@ -68,6 +68,19 @@ def events(table: Reader) -> DataFrame:
     return with_arrival_order(rows, EVENT_PARTITIONS)
 
 
+def timed_events(table: Reader) -> DataFrame:
+    """The event topic with a coarse broker time, so that many records of several partitions share one."""
+    return table(
+        "events",
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % EVENT_PARTITIONS).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / EVENT_PARTITIONS).alias("offset"),
+        F.col("user_id").cast("string").alias("key"),
+        F.col("props").alias("value"),
+        F.date_trunc("hour", "ts").alias("timestamp"),
+    )
+
+
 def colour_lines(table: Reader) -> DataFrame:
     """``user,type,x`` lines from the events, with null, separator-less and one-part lines among them."""
     id, user = F.col("event_id"), F.col("user_id").cast("string")

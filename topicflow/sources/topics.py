@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from topicflow.operators.ordering import numbered
+
 TOPIC_SCHEMA = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -50,15 +52,16 @@ def stream_topic(
     )
 
 
-def _kafka_columns(df: DataFrame, partitions: int) -> DataFrame:
+def _kafka_columns(df: DataFrame, partitions: int, by_time: bool = False) -> DataFrame:
     rows = df.select(
         "topic",
         "partition",
         "offset",
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
+        "timestamp",
     )
-    return with_arrival_order(rows, partitions)
+    return with_time_order(rows).drop("timestamp") if by_time else with_arrival_order(rows.drop("timestamp"), partitions)
 
 
 def stream_kafka(
@@ -93,10 +96,12 @@ def read_kafka(
     partitions: int,
     starting_offsets: str = "earliest",
     options: Mapping[str, str] | None = None,
+    by_time: bool = False,
 ) -> DataFrame:
     """Bounded read of the assigned partitions up to their present ends (needs ``spark-sql-kafka``).
 
-    ``starting_offsets`` may be the text from :func:`starting_offsets_json`.
+    ``starting_offsets`` may be the text from :func:`starting_offsets_json`; ``options`` may set the ends, as those of
+    ``progress.Read.kafka_options`` do.  ``by_time`` orders the records by broker time, partition and offset.
     """
     df = (
         spark.read.format("kafka")
@@ -107,7 +112,7 @@ def read_kafka(
         .options(**(options or {}))
         .load()
     )
-    return _kafka_columns(df, partitions)
+    return _kafka_columns(df, partitions, by_time)
 
 
 def with_arrival_order(df: DataFrame, partitions: int) -> DataFrame:
@@ -120,6 +125,15 @@ def with_arrival_order(df: DataFrame, partitions: int) -> DataFrame:
     return df.withColumn("seq", F.col("offset") * F.lit(partitions).cast("bigint") + F.col("partition"))
 
 
+def with_time_order(df: DataFrame, time: str = "timestamp", ranges: int | None = None) -> DataFrame:
+    """Add ``seq`` to a bounded topic: dense numbers by (broker time, partition, offset), the same on every run.
+
+    Equal times are told apart by partition and offset; records without a time come first.  The rows are
+    dealt into ranges of the order, sorted there and stored (:func:`topicflow.operators.ordering.numbered`).
+    """
+    return numbered(df, [time, "partition", "offset"], "seq", ranges=ranges)
+
+
 def assigned_partitions(df: DataFrame, partitions: Sequence[int]) -> DataFrame:
     """Key and value of the given partitions, with their place in the topic."""
     return df.where(F.col("partition").isin(list(partitions)))

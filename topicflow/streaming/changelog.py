@@ -5,12 +5,10 @@ one row per record.  Each micro-batch runs the batch operator on its records, st
 from the state the batches before it have left.  So a live changelog has the batch
 plan's properties: built-in columns only, and no key's records in one task.
 
-The state is a keyed table in the job's folder.  A batch writes one row for each key it
-has, and nothing of other keys; from time to time the rows so far are combined into one
-per key.  A batch starts from the state of its own keys only.  What batch ``i`` reads was
-written by batches before it, and what it writes is named by its id and replaced when it
-is run again, so a batch that is run again finds what it found the first time.  Keys
-never expire.
+The state is a keyed table in the job's folder (``store.KeyedTable``), dealt into buckets by
+key.  A batch writes one row for each key it has, and reads the buckets of its own keys; from
+time to time a bucket's rows are combined into one per key.  A batch that is run again finds
+what it found the first time.  Keys never expire.
 
 Within a batch records count in ``seq`` order; a later batch counts as arriving later.
 """
@@ -19,11 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from topicflow.operators import changelog
-from topicflow.streaming.jobs import Folders, Job, folders, start_batches
+from topicflow.sources.topics import stream_topic
+from topicflow.streaming import processors
+from topicflow.streaming.jobs import Folders, Job, folders, start_append, start_batches, start_table
+from topicflow.streaming.store import BUCKETS, COMPACT_EVERY, KeyedTable
 
 COUNT_STATE = "word string, state bigint"
 BALANCE_STATE = "key string, state struct<timestamp: bigint, earlier_batch: bigint, earlier: bigint, amount: double>"
@@ -31,10 +31,6 @@ LATEST_STATE = "key string, state struct<batch: bigint, seq: bigint, value: stri
 VALUE_COUNT_STATE = "value string, state bigint"
 CHANGES = "seq bigint, step int, value string, delta bigint"
 
-#: Batches after which the changes so far are combined into one row per key.
-COMPACT_EVERY = 16
-
-
 class CarriedState:
     """A keyed state table handed from one micro-batch to the next."""
 
@@ -45,53 +41,27 @@ class CarriedState:
         schema: str,
         combine: Callable[[Column], Column],
         compact_every: int = COMPACT_EVERY,
+        buckets: int = BUCKETS,
     ):
-        self.path, self.schema, self.combine, self.every = at.table(f"state/{name}"), schema, combine, compact_every
-
-    def _change(self, batch_id: int) -> str:
-        return f"{self.path}/change/batch_id={batch_id}"
-
-    def _whole(self, batch_id: int) -> str:
-        return f"{self.path}/whole/batch_id={batch_id}"
+        self.path, self.schema, self.combine = at.table(f"state/{name}"), schema, combine
+        self.compact_every, self.buckets = compact_every, buckets
 
-    def _read(self, spark: SparkSession, *paths: str) -> DataFrame:
-        return spark.read.schema(self.schema).parquet(*paths)
+    def table(self, spark: SparkSession) -> KeyedTable:
+        schema = spark.createDataFrame([], self.schema).schema
+        return KeyedTable(spark, self.path, schema, schema.names[:-1], self.combine, self.buckets, self.compact_every)
 
     def after(self, spark: SparkSession, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
-        """The state that batch ``batch_id`` has left, of the given keys or of all."""
-        whole = (batch_id + 1) // self.every * self.every - 1
-        paths = [self._whole(whole)] if whole >= 0 else []
-        rows = self._read(spark, *paths, *[self._change(i) for i in range(whole + 1, batch_id + 1)])
-        names = rows.columns[:-1]
-        if keys is not None:
-            rows = rows.join(keys.select(*names), names, "left_semi")
-        return rows.groupBy(*names).agg(self.combine(F.col("state")).alias("state"))
+        """The state that batch ``batch_id``, one of the last two, has left, of the given keys or of all."""
+        table = self.table(spark)
+        return table.read(batch_id) if keys is None else table.of_keys(keys, batch_id)
 
     def take(self, change: DataFrame, batch_id: int) -> DataFrame | None:
         """Store what batch ``batch_id`` adds and return what its keys had before."""
-        spark = change.sparkSession
-        change.write.mode("overwrite").parquet(self._change(batch_id))
-        before = None
-        if batch_id > 0:
-            before = self.after(spark, batch_id - 1, keys=self._read(spark, self._change(batch_id)))
-        if (batch_id + 1) % self.every == 0:
-            self._compact(spark, batch_id)
-        return before
-
-    def _compact(self, spark: SparkSession, batch_id: int) -> None:
-        earlier = batch_id - self.every
-        paths = [self._whole(earlier)] if earlier >= 0 else []
-        rows = self._read(spark, *paths, *[self._change(i) for i in range(earlier + 1, batch_id + 1)])
-        whole = rows.groupBy(*rows.columns[:-1]).agg(self.combine(F.col("state")).alias("state"))
-        whole.write.mode("overwrite").parquet(self._whole(batch_id))
+        return self.table(change.sparkSession).take(change, batch_id)
 
     def now(self, spark: SparkSession) -> DataFrame:
         """The state as the last batch has left it."""
-        try:
-            last = spark.read.parquet(f"{self.path}/change").agg(F.max("batch_id")).first()[0]
-        except AnalysisException:  # no batch has run
-            last = None
-        return spark.createDataFrame([], self.schema) if last is None else self.after(spark, last)
+        return self.table(spark).read()
 
 
 def _counts(at: Folders) -> CarriedState:
@@ -175,3 +145,25 @@ def balances(spark: SparkSession, job: Job) -> DataFrame:
         F.coalesce("state.amount", F.lit(0.0)).alias("amount"),
         F.coalesce("state.timestamp", F.lit(0).cast("bigint")).alias("timestamp"),
     )
+
+
+# --- the same as two jobs ---------------------------------------------------------
+
+
+def start_changes(updates: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
+    """First job: each (key, seq, value) update becomes changes (seq, step, value, delta) in a topic of their own.
+
+    The current value of each key is in the state store; the topic takes each change exactly once, also when a
+    batch is run again.
+    """
+    return start_append(processors.value_changes(updates), root, fresh, **trigger)
+
+
+def start_change_counts(spark: SparkSession, changes: Job, root: str, fresh: bool = False, **options) -> Job:
+    """Second job: follow the topic of changes and keep the count per value.
+
+    It has a checkpoint of its own, so either job may stop, fall behind and go on without the other.
+    """
+    topic = stream_topic(spark, changes.folders.output, changes.schema)
+    counts = topic.groupBy("value").agg(F.sum("delta").alias("n"))
+    return start_table(counts, root, fresh, keys=["value"], **options)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.session import use_rocksdb
+from topicflow.streaming.store import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,7 @@ class Job:
     query: StreamingQuery
     folders: Folders
     schema: T.StructType
+    keys: tuple[str, ...] = ()
 
     def wait(self) -> "Job":
         self.query.awaitTermination()
@@ -88,14 +90,44 @@ def start_batches(
     return Job(query, at, schema)
 
 
-def start_table(table: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
+def _output_table(spark: SparkSession, at: Folders, schema: T.StructType, keys: Sequence[str], **layout) -> KeyedTable:
+    """Where a job keeps its table: per key the values with the micro-batch that wrote them, of which the last counts."""
+    values = [T.StructField("batch_id", T.LongType()), *(f for f in schema.fields if f.name not in keys)]
+    stored = T.StructType([schema[k] for k in keys] + [T.StructField("state", T.StructType(values))])
+    return KeyedTable(spark, at.table("table"), stored, keys, lambda s: F.max_by(s, s["batch_id"]), **layout)
+
+
+def start_table(
+    table: DataFrame,
+    root: str,
+    fresh: bool = False,
+    keys: Sequence[str] = (),
+    available_now: bool = True,
+    interval: str = "10 seconds",
+    **layout,
+) -> Job:
     """Run a keyed table as a stream; each micro-batch writes the keys that changed.
 
+    With ``keys`` the updates go into a table that holds each key once (:mod:`topicflow.streaming.store`; ``buckets``
+    and ``compact_every`` are its layout), and superseded files are deleted.  Without, every update is kept, for
+    :func:`read_updates`, and reading the table scans them all.
+
     State is kept per shuffle partition in RocksDB.  The number of shuffle partitions is
     fixed by the first run of a checkpoint, so choose it for the size the state will have.
     """
-    at = folders(root, fresh)
-    return start_batches(table, at, lambda batch, _: batch, table.schema, mode="update", keep=False, **trigger)
+    at, spark, schema = folders(root, fresh), table.sparkSession, table.schema
+    if not keys:
+        run = {"available_now": available_now, "interval": interval}
+        return start_batches(table, at, lambda batch, _: batch, schema, mode="update", keep=False, **run)
+    values = [F.col(c) for c in schema.names if c not in keys]
+    stored = _output_table(spark, at, schema, keys, **layout)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        state = F.struct(F.lit(batch_id).cast("bigint").alias("batch_id"), *values)
+        stored.put(batch.select(*keys, state.alias("state")), batch_id)
+
+    query = _writer(table, "update", at, available_now, interval).foreachBatch(write).start()
+    return Job(query, at, schema, tuple(keys))
 
 
 def start_append(
@@ -116,6 +148,8 @@ def read_updates(spark: SparkSession, job: Job) -> DataFrame:
 def read_table(spark: SparkSession, job: Job, keys: Sequence[str]) -> DataFrame:
     """The table as :func:`start_table` has left it: the newest update per key."""
     names = job.schema.fieldNames()
+    if job.keys:
+        return _output_table(spark, job.folders, job.schema, job.keys).read().select(*job.keys, "state.*").select(*names)
     newest = F.max_by(F.struct(*[c for c in names if c not in keys]), "batch_id").alias("_newest")
     updates = read_updates(spark, job).groupBy(*keys).agg(newest)
     return updates.select(*keys, "_newest.*").select(*names)

@@ -47,6 +47,28 @@ def stored_balances(
     return _in_reverse(rows, key, overall)
 
 
+def state_changes(spark: SparkSession, checkpoint: str, first: int, last: int) -> DataFrame:
+    """What micro-batches ``first`` to ``last`` have put into a job's store and taken out of it.
+
+    One row per key and batch that changed it: (batch_id, change_type, key, value, partition_id).  It is read from the
+    store's own change files (``use_rocksdb`` has them written), as far back as the checkpoint keeps them.
+    """
+    reader = spark.read.format("statestore").option("readChangeFeed", True)
+    return reader.option("changeStartBatchId", first).option("changeEndBatchId", last).load(checkpoint)
+
+
+def count_changes(spark: SparkSession, job: Job, first: int, last: int, key: str = "word") -> DataFrame:
+    """Counts as each micro-batch has left them, for the keys it changed: (batch_id, change_type, key, n, partition_id)."""
+    return state_changes(spark, job.folders.checkpoint, first, last).select(
+        "batch_id", "change_type", F.col("key")[key].alias(key), F.col("value.count").alias("n"), "partition_id"
+    )
+
+
+def changes_per_store(changes: DataFrame) -> DataFrame:
+    """How many keys each micro-batch has changed in each store, by kind of change."""
+    return changes.groupBy("batch_id", "partition_id", "change_type").agg(F.count(F.lit(1)).alias("keys"))
+
+
 def stores(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The state stores of a job: operator, number of partitions, first and last batch kept."""
     return spark.read.format("state-metadata").load(checkpoint)
