@@ -8,13 +8,15 @@ import pytest
 
 from __spark_entry__ import entry
 from topicflow.plans.catalog import QUERIES, SQL
+from topicflow.sources import topics
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
-BATCH = [name for name in QUERIES if not name.startswith(("stream_", "stored_", "drained_", "resumed_"))]
+STREAMED = ("stream_", "stored_", "drained_", "resumed_", "state_", "linked_", "compacted_", "once_")
+BATCH = [name for name in QUERIES if not name.startswith(STREAMED)]
 
 
 @pytest.fixture(scope="module")
@@ -94,3 +96,19 @@ def test_retracting_counts_find_each_pair_first(spark):
     text = plan(QUERIES["favourite_color"](spark, SF_DIR)).split("Initial Plan")[-1]
     below = text[text.index("Expand") :]
     assert "HashAggregate" in below and "partial_max" in below and "Sort [" not in below
+
+
+def test_small_inputs_are_spread_and_large_ones_are_not(spark, tmp_path):
+    spark.range(100).repartition(12).write.parquet(f"{tmp_path}/many")
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/one")
+    with_conf = {"spark.sql.files.openCostInBytes": "128m"}  # a part for each file
+    before = {k: spark.conf.get(k) for k in with_conf}
+    try:
+        for k, v in with_conf.items():
+            spark.conf.set(k, v)
+        many, one = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("many", "one"))
+        assert "Exchange" not in plan(topics.spread(many, at_least=8))
+        assert "RoundRobinPartitioning(8)" in plan(topics.spread(one, at_least=8))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -283,7 +283,8 @@ def stream_peeked_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.documents(inputs.batch_reader(spark, sf_dir))
+    """Long texts: cutting them into words is dearer than handing them to idle cores."""
+    return topics.spread(inputs.documents(inputs.batch_reader(spark, sf_dir)), at_least=spark.sparkContext.defaultParallelism)
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -441,17 +442,6 @@ def stored_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.count_changes(spark, job, 0, PIECES - 1).drop("partition_id")
 
 
-@query(_running_words(_conversation_words(_unicode_parts("text"))))
-def state_running_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running counts from the state store, over three micro-batches."""
-    root = work_dir(spark, "state-words")
-
-    def start(topic: DataFrame) -> jobs.Job:
-        return jobs.start_append(processors.running_count(tokens.unicode_tokens(topic).drop("value")), root)
-
-    return _running_rows(jobs.read_rows(spark, _resumed(spark, _conversations(spark, sf_dir), start, [0, 1, 2])))
-
-
 # --- colours ----------------------------------------------------------------------
 
 

@@ -179,12 +179,18 @@ def starting_offsets_json(progress: DataFrame, assigned: Mapping[str, Sequence[i
     return json.dumps(offsets)
 
 
-def spread(df: DataFrame, parallelism: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+def spread(
+    df: DataFrame, parallelism: int | None = None, by: Sequence[str] = (), at_least: int | None = None
+) -> DataFrame:
     """Redistribute rows: by the values of ``by``, or round-robin to ``parallelism`` parts.
 
     Without either the rows stay where they are: how many splits an input has is for its files
-    and ``spark.sql.files.maxPartitionBytes`` to say.
+    and ``spark.sql.files.maxPartitionBytes`` to say.  ``at_least`` is for work that is dearer than moving its
+    input, on a table as it is read: where that comes in fewer parts than so many, as one small file does, they
+    are made so many; a table of many splits is not moved.
     """
     if by:
         return df.repartition(parallelism, *by) if parallelism else df.repartition(*by)
+    if at_least and df.rdd.getNumPartitions() < at_least:
+        parallelism = at_least
     return df.repartition(parallelism) if parallelism else df

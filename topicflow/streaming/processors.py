@@ -24,8 +24,14 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    return pd.concat(rows, ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+def _in_order(rows: Iterator[pd.DataFrame], order: list[str]) -> dict[str, np.ndarray]:
+    """The columns of a key's records in order; most keys have few records, so frames are not built in between."""
+    parts = list(rows)
+    columns = {c: np.concatenate([p[c].to_numpy() for p in parts]) if len(parts) > 1 else parts[0][c].to_numpy() for c in parts[0].columns}
+    if len(columns[order[0]]) == 1:
+        return columns
+    at = np.lexsort([columns[c] for c in reversed(order)])
+    return {c: values[at] for c, values in columns.items()}
 
 
 class RunningCount(StatefulProcessor):
@@ -38,11 +44,11 @@ class RunningCount(StatefulProcessor):
         self.count = handle.getValueState("count", "n bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        found = _in_order(rows, *self.order)
-        before = self.count.get()[0] if self.count.exists() else 0
-        found[self.out] = before + np.arange(1, len(found) + 1)
-        self.count.update((before + len(found),))
-        yield found
+        found = _in_order(rows, self.order)
+        n = len(found[self.order[0]])
+        before = (self.count.get() or (0,))[0]
+        self.count.update((before + n,))
+        yield pd.DataFrame(found | {self.out: before + np.arange(1, n + 1)})
 
     def close(self) -> None:
         pass
@@ -55,13 +61,14 @@ class RunningBalance(StatefulProcessor):
         self.newest = handle.getValueState("newest", "amount double, timestamp bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        found = _in_order(rows, "seq")
-        amount, time = self.newest.get() if self.newest.exists() else (0.0, 0)
-        times = np.maximum.accumulate(np.concatenate([[time], found["timestamp"].to_numpy(np.int64)]))
+        found = _in_order(rows, ["seq"])
+        amount, time = self.newest.get() or (0.0, 0)
+        times = np.maximum.accumulate(np.concatenate([[time], found["timestamp"]]))
         newer = np.where(times[1:] > times[:-1], np.arange(1, len(times)), 0)
-        winners = np.concatenate([[amount], found["amount"].to_numpy(np.float64)])[np.maximum.accumulate(newer)]
-        self.newest.update((float(winners[-1]), int(times[-1])))
-        yield found.assign(amount=winners, timestamp=times[1:])
+        winners = np.concatenate([[amount], found["amount"]])[np.maximum.accumulate(newer)]
+        if times[-1] > time:
+            self.newest.update((float(winners[-1]), int(times[-1])))
+        yield pd.DataFrame(found | {"amount": winners, "timestamp": times[1:]})
 
     def close(self) -> None:
         pass
@@ -74,9 +81,9 @@ class ValueChanges(StatefulProcessor):
         self.current = handle.getValueState("current", "value string")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        found = _in_order(rows, "seq")
-        new = found["value"].to_numpy(object)
-        old = np.concatenate([[self.current.get()[0] if self.current.exists() else None], new[:-1]])
+        found = _in_order(rows, ["seq"])
+        new = found["value"]
+        old = np.concatenate([[(self.current.get() or (None,))[0]], new[:-1]]).astype(object)
         parts = [
             pd.DataFrame({"seq": found["seq"], "step": step, "value": values, "delta": delta})[pd.notna(values)]
             for step, values, delta in ((0, old, -1), (1, new, 1))
