@@ -1,0 +1,238 @@
+"""Content sort, source divergence and the filter audit against plain Python."""
+
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import permutations
+
+import numpy as np
+import pytest
+
+from topicflow.llm import divergence, exact, filters
+
+SPACE = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def rows_of(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+# --- content sort -----------------------------------------------------------------
+
+
+def sorted_by_hand(rows):
+    groups = defaultdict(list)
+    for id, text in rows:
+        groups[SPACE.sub(" ", text or "")].append(id)
+    found = Counter()
+    for text, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i))
+        for place, id in enumerate(ids):
+            found[id, ids[0], len(ids), place == 0, hashlib.sha256(text.encode()).hexdigest()] += 1
+    return found
+
+
+def copies(n):
+    draw = random.Random(7)
+    texts = ["hot  text", "hot text", "hot\n\ttext", None, "", " ", "a b\tc", "a b c ", "Ärger\x0b im Bett", "x" * 300]
+    texts += ["x" * 300 + str(i) for i in range(9)]  # alike for longer than a splitter's beginning
+    return [(draw.choice([i, i, i, None, i - 1]), draw.choice([*texts, "hot text", "hot text", f"text {draw.randint(0, 60)}"])) for i in range(n)]
+
+
+@pytest.mark.parametrize("bucket_bytes", [exact.BUCKET_BYTES, 1500])
+def test_content_sort_finds_the_smallest_id_of_equal_texts(spark, bucket_bytes):
+    rows = copies(700)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert rows_of(exact.exact_duplicates(df, bucket_bytes=bucket_bytes)) == sorted_by_hand(rows)
+
+
+def test_a_text_cut_between_its_copies_is_joined_again(spark):
+    rows = [(i, "one text") for i in range(400)] + [(400 + i, f"{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = exact.exact_duplicates(df, bucket_bytes=3000)
+    assert rows_of(found) == sorted_by_hand(rows)
+
+
+def test_content_sort_takes_long_texts_other_ids_and_clashing_columns(spark):
+    long = "word " * 200_000
+    rows = [("b", long), ("a", long.strip() + "\n"), ("c", long + "x"), (None, None)]
+    wide = [(*r, 1, 2, 3) for r in rows]
+    df = spark.createDataFrame(wide, "name string, body string, bucket int, run int, first int")
+    assert rows_of(exact.exact_duplicates(df, "body", "name")) == sorted_by_hand(rows)
+
+
+def test_content_sort_of_nothing(spark):
+    assert exact.exact_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_content_sort_shuffles_texts_once_and_stays_in_built_in_functions(spark, monkeypatch):
+    plans = []
+    stored = exact.written
+    monkeypatch.setattr(exact, "written", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or stored(df, name))
+    df = spark.createDataFrame(copies(50), "doc_id long, text string")
+    plans.append(exact.exact_duplicates(df)._jdf.queryExecution().executedPlan().toString())
+    assert plans[0].count("Exchange") == 1 and "shufflepartitionidpassthrough" in plans[0]
+    for plan in plans:
+        assert not any(bad in plan for bad in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop", "SinglePartition"))
+
+
+# --- source divergence ------------------------------------------------------------
+
+
+def divergence_by_hand(rows, least, top=50):
+    letters = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    docs, counts, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for lang, source, text in rows:
+        group = lang or "", source or ""
+        groups.add(group)
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        found = Counter(letters.findall(lowered))
+        counts[group] += found
+        docs[group[0]] += Counter(found.keys())
+    result = Counter()
+    for lang in {g[0] for g in groups}:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        own = sorted(g for g in groups if g[0] == lang)
+
+        def shares(counted):
+            total = sum(counted[t] for t in kept)
+            return {t: 1 + 10**9 * (counted[t] + 5) // (total + 5 * len(kept)) for t in kept}
+
+        p = {g: shares(counts[g]) for g in own}
+        q = shares(sum((counts[g] for g in own), Counter()))
+        for g in own:
+            pairs = [(-sum(abs(p[g][t] - p[h][t]) for t in kept), h[1]) for h in own if h != g]
+            terms = [(q[t] - p[g][t], t) for t in kept if counts[g][t] and p[g][t] > q[t]]
+            terms = [(v, t) for v, _, t in sorted((v, t.encode(), t) for v, t in terms)]
+            for part, items in (("pair", sorted(pairs)), ("term", terms[:top])):
+                for rank, (value, item) in enumerate(items, 1):
+                    result[lang, g[1], part, item, -value, rank] += 1
+    return result
+
+
+def sources(n):
+    draw = random.Random(3)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80)] + ["Äpfel", "日本", "don't", "x-Y", "9z", "😀"]
+    return [
+        (draw.choice(["en", "en", "de", None, ""]), draw.choice(["a", "a", "b", "c", None, "d"]), draw.choice([None, ""]) if draw.random() < 0.1 else " ".join(draw.choices(words, k=draw.randint(1, 40))))
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("least", [1, 5, 10_000])
+def test_divergence(spark, least):
+    rows = sources(300)
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "lang string, source string, text string, n int, term int")
+    found = divergence.divergence(df.repartition(4), least_docs=least)
+    assert rows_of(found) == divergence_by_hand(rows, least)
+
+
+def test_divergence_over_many_tiles_and_blocks(spark):
+    rows = sources(300)
+    draw = random.Random(4)
+    rows = [(lang, f"s{draw.randint(0, 12)}", text) for lang, _, text in rows]
+    hand = divergence_by_hand(rows, 2)
+    keep = divergence.differences
+    try:
+        divergence.differences = lambda shares, groups: keep(shares, groups, block_terms=7, tile=3)
+        df = spark.createDataFrame(rows, "lang string, source string, text string")
+        assert rows_of(divergence.divergence(df, least_docs=2)) == hand
+    finally:
+        divergence.differences = keep
+
+
+def test_divergence_of_nothing_and_of_one_source(spark):
+    schema = "lang string, source string, text string"
+    assert divergence.divergence(spark.createDataFrame([], schema)).collect() == []
+    assert divergence.divergence(spark.createDataFrame([("en", "a", "b c")] * 40, schema)).collect() == []
+
+
+def test_long_texts_are_counted_in_blocks():
+    text = ("Ab,cd  é " * 5000 + "x" * 3000).encode()
+    assert divergence.term_counts(text, block=100) == {b"ab": 5000, b"cd": 5000, "é".encode(): 5000, b"x" * 3000: 1}
+    assert divergence.term_counts(b"") == {}
+
+
+def test_shares_are_exact_at_any_count(spark):
+    rows = [(9_000_000_000_000_000_000, 9_100_000_000_000_000_000, 3), (0, 7, 11), (2, 3, 1), (0, 0, 0)]
+    df = spark.createDataFrame(rows, "n long, total long, terms long")
+    found = [r[0] for r in df.select(divergence.share(df.n, df.total, df.terms)).collect()]
+    assert found == [1 + 10**9 * (n + 5) // (total + 5 * v) if v else None for n, total, v in rows]
+
+
+# --- filter audit -----------------------------------------------------------------
+
+
+def audit_by_hand(rows, labels, names="ABCDE"):
+    least = {}
+    for id, text, _ in rows:
+        if id is not None:
+            least[text or ""] = min(id, least.get(text or "", id))
+    failed = []
+    for id, text, part in rows:
+        text = text or ""
+        words = [w for w in SPACE.split(text) if w]
+        fails = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 3 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": text in least and (id is None or id > least[text]),
+        }
+        failed.append((part or "", {n for n in names if fails[n]}, (id, "quality") in labels, (id, "toxic") in labels))
+    result, shapley = {}, Counter()
+    for part in {f[0] for f in failed}:
+        own = [f[1:] for f in failed if f[0] == part]
+        for order in permutations(names):
+            left = own
+            for step, name in enumerate(order, 1):
+                gone = [f for f in left if name in f[0]]
+                left = [f for f in left if name not in f[0]]
+                shapley[part, name] += len(gone)
+                failing = sum(name in f[0] for f in own)
+                alone = sum(f[0] == {name} for f in own)
+                result[part, "".join(order), step] = (len(left), len(gone), failing - len(gone), alone, sum(f[1] for f in gone), sum(f[2] for f in gone))
+    return Counter({(*key, *values, shapley[key[0], key[1][key[2] - 1]]): 1 for key, values in result.items()})
+
+
+def judged(n):
+    draw = random.Random(11)
+    texts = [None, "", "short", "SHOUT", "a # b", "long " * 250, "x\ty " * 200, " ".join(f"w{i}" for i in range(220)), "cost $5 " * 150]
+    ids = [draw.choice([i, i, i, None, i // 2]) for i in range(n)]
+    return [(id, draw.choice([*texts, f"only {i}"]), draw.choice(["en", "de", None, ""])) for i, id in enumerate(ids)]
+
+
+def test_filter_audit(spark, monkeypatch):
+    rows = judged(300)
+    marks = [(i, i % 3 and 1, 1 if i % 5 == 0 else None) for i in range(0, 300, 2)] + [(4, 0, 1), (4, 1, 0), (None, 1, 1)]
+    labels = {(i, "quality") for i, q, _ in marks if q == 1 and i is not None} | {(i, "toxic") for i, _, t in marks if t == 1 and i is not None}
+    docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, lang string, failed int, first int")
+    table = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    expected = audit_by_hand(rows, labels)
+    assert rows_of(filters.filter_audit(docs, table)) == expected
+    monkeypatch.setattr(filters, "HOT_PART", 20)  # texts with more than 15 rows are hot now
+    assert rows_of(filters.filter_audit(docs, table)) == expected
+
+
+def test_filter_audit_of_nothing_and_of_long_texts(spark):
+    docs, labels = "doc_id long, text string, lang string", "doc_id long, quality int, toxic int"
+    none = spark.createDataFrame([], labels)
+    assert filters.filter_audit(spark.createDataFrame([], docs), none).collect() == []
+    rows = [(1, "Long | " * 300_000, "en"), (2, "Long | " * 300_000, "en"), (3, "ok", "en")]
+    assert rows_of(filters.filter_audit(spark.createDataFrame(rows, docs), none)) == audit_by_hand(rows, set())
+
+
+@pytest.mark.parametrize("count", [1, 3, 5])
+def test_the_walk_gives_the_survivors_of_every_subset(count):
+    cells = np.random.default_rng(count).integers(0, 50, (1 << count, 3))
+    found = filters.survivors(cells, count)
+    for active in range(1 << count):
+        assert (found[active] == cells[[s for s in range(1 << count) if not s & active]].sum(axis=0)).all()
+
+
+def test_other_filters(spark):
+    docs = spark.createDataFrame([(1, "a", "en", 5), (2, "a", "en", None), (3, "b", "en", 9)], "doc_id long, text string, lang string, n int")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    found = filters.filter_audit(docs, labels, filters={"N": docs.n > 6}).orderBy("filter_order", "step").collect()
+    assert [(r.filter_order, r.step, r.kept, r.removed) for r in found] == [("EN", 1, 2, 1), ("EN", 2, 1, 1), ("NE", 1, 2, 1), ("NE", 2, 1, 1)]
