@@ -24,12 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: texts that share 0.8 of their five-word shingles.
-
-    Fingerprints of shingles would need a budget of 14 bits to meet such texts, which no trie
-    prunes.  Those of the texts' different words are closer and give the candidates; each
-    candidate pair is then compared by its shingles.
-    """
+    """One document of each group of near-duplicates stays: fingerprints of four-word shingles within four bits."""
     return simhash.keep_one(docs)
 
 
