@@ -9,21 +9,18 @@ took different bits has spent one more bit of the budget, and a pair over budget
 dropped with everything below it.  Where both nodes hold few fingerprints the walk ends
 and these are compared whole.
 
-On Spark the first ``TOP_BITS`` levels of the walk are done by a shuffle: each distinct
-fingerprint goes to every pair of top nodes within budget, and each such pair of nodes is
-one task's trie walk over two sorted arrays.  A walk returns not its links but a spanning
-forest of them, at most one row per fingerprint, so a dense group costs no more rows
+On Spark the first levels of the walk, more of them the more fingerprints there are, are done
+by a shuffle: each distinct fingerprint goes to every pair of top nodes within budget, and each
+such pair of nodes is one task's trie walk over two sorted arrays.  A walk returns not its links but
+a spanning forest of them, at most one row per fingerprint, so a dense group costs no more rows
 than it has members.  Equal fingerprints are one trie leaf, however many texts have them.
 Groups are the connected components of the forests' edges, found by star contraction over
 tables in the shared folder.
-
-``keep_one`` takes the walk's links as candidates only: texts are near copies where they
-share 0.8 of their five-word shingles, which is computed from the texts themselves.  The
-forests' edges are verified first; then those links whose ends are not connected by then.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -37,18 +34,15 @@ from topicflow.llm.common import fresh_name, utf8, written
 BITS = 64
 SHINGLE_WORDS = 4
 MAX_DIFFERING = 4
-#: Levels of the trie that the shuffle deals out: 16 top nodes, 136 pairs.
-TOP_BITS = 4
+#: Levels of the trie that the shuffle deals out at least (16 top nodes, 136 pairs) and at most, and how many
+#: fingerprints a pair of top nodes should not exceed, on average.
+TOP_BITS, MOST_TOP_BITS = 4, 16
+PAIR_FINGERPRINTS = 1 << 21
 #: Pairs of nodes that hold no more pairs of fingerprints than this are compared whole.
 LEAF_PAIRS = 256
 #: Pairs of nodes, or of fingerprints, that a walk holds at a time.
 CHUNK = 1 << 18
 HASH_SEED = 42
-#: Of the fingerprints by which ``keep_one`` finds candidates; one of them within budget is enough.
-SEEDS = (1, 2, 3)
-#: Near copies share so many of all their shingles of so many words.
-KEEP_WORDS = 5
-KEEP_SHARED, KEEP_OF = 4, 5
 #: Shingles that are unpacked into bits at a time.
 SHINGLE_BLOCK = 1 << 16
 
@@ -77,47 +71,6 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def set_fingerprints(text: bytes, seeds: tuple[int, ...]) -> list[int]:
-    """A fingerprint of the text's different words for each seed.
-
-    Rare words weigh as much as common ones, and changing one word changes one feature, not
-    as many shingles as hold it: texts that share 0.8 of their five-word shingles share
-    nearly all words, so their fingerprints stay within a small budget.
-    """
-    words = set(text.lower().split())
-    if not words:
-        return [0] * len(seeds)
-    found = []
-    for seed in seeds:
-        hashes = np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), SHINGLE_BLOCK):
-            block = hashes[at : at + SHINGLE_BLOCK].view(np.uint8).reshape(-1, 8)
-            ones += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        found.append(int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]))
-    return found
-
-
-def shingles(text: bytes, words: int = KEEP_WORDS) -> set[bytes]:
-    """The different shingles of a UTF-8 text; a shorter text is one."""
-    found = text.lower().split()
-    if not found:
-        return set()
-    return {b" ".join(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
-
-
-def shingle_key(text: bytes, words: int = KEEP_WORDS) -> bytes:
-    """16 bytes that texts with the same shingles share."""
-    hashes = np.array(sorted(xxhash.xxh64_intdigest(s, HASH_SEED) for s in shingles(text, words)), np.uint64)
-    return xxhash.xxh3_128_digest(hashes.tobytes(), HASH_SEED)
-
-
-def near_copies(a: set[bytes], b: set[bytes]) -> bool:
-    """Whether the sets' Jaccard similarity is at least ``KEEP_SHARED / KEEP_OF``."""
-    both = len(a & b)
-    return KEEP_OF * both >= KEEP_SHARED * (len(a) + len(b) - both)
-
-
 def with_fingerprints(df: DataFrame, text: str, out: str, words: int = SHINGLE_WORDS) -> DataFrame:
     """Add the fingerprint of ``text`` as a long (its 64 bits; null and wordless texts: zero)."""
 
@@ -228,14 +181,24 @@ def _compare(values: np.ndarray, pairs: np.ndarray, budget: int) -> Iterator[tup
         at = to
 
 
-def _dealt(distinct: DataFrame, budget: int, top_bits: int) -> DataFrame:
+def top_bits(fingerprints: int) -> int:
+    """How many levels the shuffle deals out, so that a pair of top nodes holds a bounded number on average."""
+    wanted = math.ceil(math.log2(max(1, 2 * fingerprints / PAIR_FINGERPRINTS)))
+    return min(max(TOP_BITS, wanted), MOST_TOP_BITS)
+
+
+def _dealt(distinct: DataFrame, budget: int, bits: int) -> DataFrame:
     """Each row of ``distinct`` at every ``pair`` of top nodes within budget that has its ``fp``."""
-    tops = 1 << top_bits
-    pairs = [(a, b) for a in range(tops) for b in range(a, tops) if (a ^ b).bit_count() <= budget]
-    partners = [sorted(a * tops + b for a, b in pairs if top in (a, b)) for top in range(tops)]
-    dealt = F.array(*[F.array(*[F.lit(p) for p in own]) for own in partners])
-    top = F.shiftrightunsigned("fp", BITS - top_bits).cast("int")
-    return distinct.select("*", F.explode(F.get(dealt, top)).alias("pair"))
+    masks = [0]
+    for bit in range(bits):
+        masks += [m | 1 << bit for m in masks if m.bit_count() < budget]
+    top = F.shiftrightunsigned("fp", BITS - bits)
+
+    def pair(mask: Column) -> Column:
+        other = top.bitwiseXOR(mask)
+        return F.shiftleft(F.least(top, other), bits) + F.greatest(top, other)
+
+    return distinct.select("*", F.explode(F.transform(F.lit(masks).cast("array<bigint>"), pair)).alias("pair"))
 
 
 def _ends(values: np.ndarray, pair: int, top_bits: int) -> tuple[int, int, int, int]:
@@ -245,16 +208,17 @@ def _ends(values: np.ndarray, pair: int, top_bits: int) -> tuple[int, int, int,
     return a, a_end, b, b_end
 
 
-def fingerprint_links(distinct: DataFrame, budget: int = MAX_DIFFERING, top_bits: int = TOP_BITS) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, budget: int = MAX_DIFFERING, bits: int | None = None) -> DataFrame:
     """Edges (a, b) that connect distinct fingerprints ``fp`` (long) linked directly or through others."""
+    bits = top_bits(distinct.count()) if bits is None else bits
 
     def walk(key: tuple, group: pa.Table) -> pa.Table:
         values = np.sort(group.column("fp").to_numpy().view(np.uint64))
-        a, a_end, b, b_end = _ends(values, key[0].as_py(), top_bits)
+        a, a_end, b, b_end = _ends(values, key[0].as_py(), bits)
         forest = Forest(len(values))
         if a < a_end and b < b_end:
             waiting, size = [], 0
-            for link in trie_links(values, [(a, a_end, b, b_end)], top_bits, budget):
+            for link in trie_links(values, [(a, a_end, b, b_end)], bits, budget):
                 waiting.append(link)
                 size += len(link[0])
                 if size > 4 * CHUNK:
@@ -266,30 +230,7 @@ def fingerprint_links(distinct: DataFrame, budget: int = MAX_DIFFERING, top_bits
         signed = values.view(np.int64)
         return pa.table({"a": signed[linked], "b": signed[forest.parent[linked]]})
 
-    return _dealt(distinct.select("fp"), budget, top_bits).groupBy("pair").applyInArrow(walk, "a long, b long")
-
-
-def unconnected_links(distinct: DataFrame, budget: int = MAX_DIFFERING, top_bits: int = TOP_BITS) -> DataFrame:
-    """All links (a, b) of distinct fingerprints ``fp`` whose ``label`` (long) is not the same; a null label is like no other."""
-
-    def walk(key: tuple, group: pa.Table) -> pa.Table:
-        values = group.column("fp").to_numpy().view(np.uint64)
-        order = np.argsort(values)
-        values = values[order]
-        labels = group.column("label").fill_null(0).to_numpy()[order]
-        alone = group.column("label").is_null().to_numpy()[order]
-        a, a_end, b, b_end = _ends(values, key[0].as_py(), top_bits)
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if a < a_end and b < b_end:
-            for i, j in trie_links(values, [(a, a_end, b, b_end)], top_bits, budget):
-                apart = (labels[i] != labels[j]) | alone[i] | alone[j]
-                left.append(np.minimum(i, j)[apart])
-                right.append(np.maximum(i, j)[apart])
-        links = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
-        signed = values.view(np.int64)
-        return pa.table({"a": signed[links[0]], "b": signed[links[1]]})
-
-    return _dealt(distinct.select("fp", "label"), budget, top_bits).groupBy("pair").applyInArrow(walk, "a long, b long")
+    return _dealt(distinct.select("fp"), budget, bits).groupBy("pair").applyInArrow(walk, "a long, b long")
 
 
 # --- components -------------------------------------------------------------------
@@ -332,16 +273,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def grouped(prints: DataFrame, budget: int = MAX_DIFFERING) -> DataFrame:
-    """(fp, component_id) of every fingerprint in ``prints`` (doc_id, fp).
-
-    ``component_id`` is the smallest doc_id reachable; null if none of the group has one.
-    """
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+    """(fp, first) of every fingerprint in ``prints`` (fp, rank): the smallest rank reachable."""
+    distinct = written(prints.groupBy("fp").agg(F.min("rank").alias("least")), "distinct")
     roots = connected(written(fingerprint_links(distinct.select("fp"), budget), "links"))
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = written(rooted.select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(ids, "root").select("fp", "component_id")
+    firsts = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return rooted.join(firsts, "root").select("fp", "first")
 
 
 def near_duplicates(
@@ -354,99 +292,24 @@ def near_duplicates(
     An empty table gives no rows; other columns do not matter.
     """
     prints = written(with_fingerprints(df.select(F.col(id).alias("doc_id"), text), text, "fp", words).select("doc_id", "fp"), "prints")
-    return prints.join(grouped(prints, budget), "fp").select(
-        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id"
+    return prints.join(grouped(prints.withColumnRenamed("doc_id", "rank"), budget), "fp").select(
+        "doc_id", hex_digits(F.col("fp")).alias("fingerprint"), F.col("first").alias("component_id")
     )
 
 
-def _verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The edges (a, b) whose texts, of ``texts`` (node, text), are near copies."""
-
-    @F.arrow_udf("boolean")
-    def linked(left: pa.Array, right: pa.Array) -> pa.Array:
-        known: dict[bytes, set[bytes]] = {}  # the ends of many edges come again
-
-        def of(text: bytes) -> set[bytes]:
-            if text not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[text] = shingles(text)
-            return known[text]
-
-        return pa.array([near_copies(of(a), of(b)) for a, b in zip(left.to_pylist(), right.to_pylist())], pa.bool_())
-
-    for end in ("b", "a"):
-        edges = edges.join(texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}")), end)
-    return edges.where(linked("text_a", "text_b")).select("a", "b")
-
-
 def keep_one(
-    df: DataFrame,
-    text: str = "text",
-    id: str = "doc_id",
-    seeds: tuple[int, ...] = SEEDS,
-    budget: int = MAX_DIFFERING,
+    df: DataFrame, text: str = "text", id: str = "doc_id", words: int = SHINGLE_WORDS, budget: int = MAX_DIFFERING
 ) -> DataFrame:
     """One row of each group of near-duplicates, with the columns of ``df``.
 
-    Texts are candidates when, for one of the seeds at least, the fingerprints of their words
-    are within budget, and link when the Jaccard similarity of their five-word shingles is at
-    least 0.8.  The row with the group's smallest id stays, or, where the group has no
-    id, one of its rows; of rows that repeat an id, one.  Null and wordless texts are copies
-    of each other.  An empty table stays empty.
+    The groups are those of :func:`near_duplicates`.  The row with a group's smallest id stays, or, where
+    the group has no id, one of its rows; of rows that repeat an id, one.  Null and wordless texts are
+    copies of each other.  An empty table stays empty.
     """
-    fp, key = fresh_name(df, "_fp"), fresh_name(df, "_key")
-
-    @F.arrow_udf("array<long>")
-    def prints(texts: pa.Array) -> pa.Array:
-        values = np.array([set_fingerprints(t, seeds) for t in texts.to_pylist()], np.uint64).reshape(-1)
-        ends = np.arange(0, len(values) + 1, len(seeds))
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-
-    @F.arrow_udf("binary")
-    def keys(texts: pa.Array) -> pa.Array:
-        return pa.array([shingle_key(t) for t in texts.to_pylist()], pa.binary())
-
-    rows = written(df.withColumn(fp, prints(utf8(text))).withColumn(key, keys(utf8(text))), "fingerprinted")
-    # texts with the same shingles are one node
-    sets = written(rows.groupBy(F.col(key).alias("node"), F.col(fp).alias("fps")).agg(F.min(id).alias("least")), "sets")
-    edges = None
-    for i in range(len(seeds)):
-        own = sets.select("node", F.col("fps")[i].alias("fp"))
-        first = written(own.groupBy("fp").agg(F.min("node").alias("first")), "distinct")
-        links = fingerprint_links(first, budget)
-        links = links.join(first.withColumnRenamed("fp", "a").withColumnRenamed("first", "x"), "a")
-        links = links.join(first.withColumnRenamed("fp", "b").withColumnRenamed("first", "y"), "b")
-        same = own.join(first, "fp").where("node != first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-        found = links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(same)
-        edges = found if edges is None else edges.unionByName(found)
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
-    # what has no candidate is alone; of the others, one text for each node
-    near = written(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near")
-    texts = rows.select(F.col(key).alias("node"), utf8(text).alias("text")).join(near, "node", "left_semi")
-    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    linked = written(_verified(edges, texts), "links")
-
-    labels = connected(linked).select("node", F.xxhash64("root").alias("label"))
-    near = sets.join(near, "node", "left_semi").join(labels, "node", "left")
-    near = written(near.select("node", "fps", F.coalesce("label", F.xxhash64("node")).alias("label")), "labelled")
-    edges = None
-    for i in range(len(seeds)):
-        own = near.select("node", "label", F.col("fps")[i].alias("fp"))
-        one = F.when(F.min("label") == F.max("label"), F.min("label"))
-        first = written(own.groupBy("fp").agg(one.alias("label")), "distinct")
-        links = unconnected_links(first, budget).unionByName(first.where("label IS NULL").select(F.col("fp").alias("a"), F.col("fp").alias("b")))
-        x, y = (own.select(F.col("fp").alias(end), F.col("node").alias(f"node_{end}"), F.col("label").alias(f"label_{end}")) for end in "ab")
-        found = links.join(x, "a").join(y, "b").where("label_a != label_b")
-        found = found.select(F.greatest("node_a", "node_b").alias("a"), F.least("node_a", "node_b").alias("b"))
-        edges = found if edges is None else edges.unionByName(found)
-    others = written(_verified(written(edges.distinct(), "candidates"), texts), "links")
-
-    roots = connected(linked.unionByName(others))
-    rooted = sets.join(roots, "node", "left").select(
-        F.coalesce("root", "node").alias("root"), F.struct(F.col("least").isNull(), "least", "node").alias("rank")
-    )
-    kept = rooted.groupBy("root").agg(F.min("rank").alias("rank"))
-    kept = written(kept.select(F.col("rank.node").alias("kept_node"), F.col("rank.least").alias("kept_id")), "kept")
-    found = rows.join(kept, (F.col(key) == F.col("kept_node")) & F.col(id).eqNullSafe(F.col("kept_id")))
-    return found.dropDuplicates([key]).select(*[found[c] for c in df.columns])
+    fp, row = fresh_name(df, "_fp"), fresh_name(df, "_row")
+    rows = with_fingerprints(df, text, fp, words).withColumn(row, F.monotonically_increasing_id())
+    rows = written(rows, "fingerprinted")
+    rank = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.col(row).alias("row"))
+    firsts = grouped(rows.select(F.col(fp).alias("fp"), rank.alias("rank")), budget)
+    kept = written(firsts.select(F.col("first.row").alias(row)).distinct(), "kept")
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
