@@ -29,6 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from topicflow.llm.common import shared
 
 #: Fixed value: how a byte-level tokenizer cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -366,18 +367,18 @@ class Coder:
         return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-_SENT: dict[tuple[str, str], object] = {}
+_SENT: dict[tuple[str, str], Callable[[], Vocabulary]] = {}
 
 
 def _coders(spark: SparkSession, path: str) -> Callable[[], Coder]:
     """A function for tasks that gives the coder; a Python worker builds it once, whatever tasks it runs."""
     key = (spark.sparkContext.applicationId, path)
     if key not in _SENT:
-        _SENT[key] = spark.sparkContext.broadcast(load_vocabulary(path))
+        _SENT[key] = shared(spark, load_vocabulary(path))
     sent = _SENT[key]
 
     def coder() -> Coder:
-        vocabulary = sent.value
+        vocabulary = sent()
         if vocabulary.coder is None:
             vocabulary.coder = Coder(vocabulary)
         return vocabulary.coder

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from topicflow.session import work_dir
 
+T = TypeVar("T")
+
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, stored in the shared folder and read back.
@@ -26,10 +30,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def shared(spark: SparkSession, value: T) -> Callable[[], T]:
+    """A function for tasks that gives ``value``, sent to each executor once and unpacked once per Python worker.
+
+    It is sent as ``cloudpickle`` packs it, with the classes of this subpackage, so executors need no copy of them.
+    """
+    sent = spark.sparkContext.broadcast({"packed": cloudpickle.dumps(value)})
+
+    def get() -> T:
+        held = sent.value
+        if "value" not in held:
+            held["value"] = cloudpickle.loads(held.pop("packed"))
+        return held["value"]
+
+    return get
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}
-    return stem if stem not in taken else f"{stem}_{uuid.uuid4().hex}"
+    return stem if stem.lower() not in taken else f"{stem}_{uuid.uuid4().hex}"
 
 
 def utf8(text: str | Column) -> Column:
