@@ -34,12 +34,13 @@ from topicflow.llm.common import fresh_name, written
 
 #: At most so many labelled rows are learned from.
 MAX_LABELLED = 1 << 15
-MAX_EXCEPTIONS = 4096
 #: A term needs so many families of toxic texts ...
 MIN_SUPPORT = 5
 #: ... and to be so many times (natural log) as frequent in toxic texts.
 MIN_WEIGHT = 2.0
 MAX_WEIGHT = 6.0
+#: Characters beside a term among which its neighbours are looked for first.
+NEAR = 40
 #: Beginnings of so many letters can be terms.
 STEM_LETTERS = (5, 6, 7)
 #: A phrase is an exception if so many clean texts have it, and so small a share of all is toxic.
@@ -89,6 +90,26 @@ def words(text: str) -> list[str]:
     return fold("\n".join(found)).split("\n") if found else []
 
 
+def _word_before(shown: str, start: int) -> str:
+    """The word that ends last before ``start``, or nothing; looked for in ever longer stretches until it is seen whole."""
+    size = NEAR
+    while True:
+        found = words(shown[max(0, start - size) : start])
+        if len(found) > 1 or size >= start:
+            return found[-1] if found else ""
+        size *= 4
+
+
+def _word_after(shown: str, end: int) -> str:
+    """The word that begins first from ``end`` on, or nothing."""
+    size = NEAR
+    while True:
+        found = words(shown[end : end + size])
+        if len(found) > 1 or end + size >= len(shown):
+            return found[0] if found else ""
+        size *= 4
+
+
 def family(text: str) -> int:
     """A number that a text shares with most of its near copies."""
     return min((zlib.crc32(w.encode()) for w in words(text)), default=0)
@@ -139,10 +160,7 @@ class Lexicon:
                 term += "*"
             if term not in self.weights:
                 continue
-            # the neighbours, from as much of the text as shows one whole word
-            before, after = shown[max(0, start - 40) : start], shown[end : end + 40]
-            before, after = words(before), words(after)
-            found.append((start, before[-1] if before else "", term, after[0] if after else ""))
+            found.append((start, _word_before(shown, start), term, _word_after(shown, end)))
         return found
 
     def weight(self, text: str) -> float:
@@ -248,8 +266,8 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> Lexi
         F.sum("n").alias("n"), F.sum(F.expr("IF(toxic = 1, n, 0)")).alias("toxic")
     )
     harmless = phrases.where((F.col("n") >= EXCEPTION_SUPPORT) & (F.col("toxic") <= EXCEPTION_TOXIC * F.col("n")))
-    harmless = harmless.orderBy(F.desc("n"), "phrase").limit(MAX_EXCEPTIONS).select("phrase.*")
-    lexicon.exceptions = {tuple(r) for r in harmless.collect() if r["term"] in lexicon.weights}
+    # no more of them than the labelled texts have terms, over EXCEPTION_SUPPORT
+    lexicon.exceptions = {tuple(r) for r in harmless.select("phrase.*").collect() if r["term"] in lexicon.weights}
 
     lexicon.coefficients = _coefficients(rows, lexicon)
     return lexicon
