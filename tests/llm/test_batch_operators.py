@@ -251,14 +251,9 @@ def test_one_row_of_a_group_stays(spark):
     assert simhash.keep_one(df.limit(0)).count() == 0
 
 
-def five_word_shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
 def rows_left(texts):
-    """The first text of each component of the links of at least 0.8, by comparing all pairs."""
-    sets = [five_word_shingles(t) for t in texts]
+    """The first text of each component of the links of at most four bits, by comparing all pairs."""
+    prints = [plain_fingerprint(t) for t in texts]
     parent = list(range(len(texts)))
 
     def root(x):
@@ -266,33 +261,48 @@ def rows_left(texts):
             x = parent[x]
         return x
 
-    for i, a in enumerate(sets):
-        for j, b in enumerate(sets[:i]):
-            if a == b or 5 * len(a & b) >= 4 * len(a | b) > 0:
+    for i, a in enumerate(prints):
+        for j, b in enumerate(prints[:i]):
+            if (a ^ b).bit_count() <= 4:
                 parent[max(root(i), root(j))] = min(root(i), root(j))
     return {i for i in range(len(texts)) if root(i) == i}
 
 
-def test_only_texts_that_share_their_shingles_are_copies(spark):
+def test_the_first_text_of_each_component_stays(spark):
     dice = random.Random(13)
     words = [f"w{i}" for i in range(300)]
-    texts = []
+    texts = ["", None]
     for _ in range(15):
         base = dice.choices(words, k=100)
         texts.append(" ".join(base))
         texts.append(" ".join(dice.sample(base, len(base))))  # the same words in another order
-        texts.append(" ".join(dice.sample(base, len(base))))
-        chain = list(base)  # each is a copy of the one before, the last not of the first
+        chain = list(base)
         for at in (10, 30, 50, 70):
             chain[at] = chain[at - 1]
             texts.append(" ".join(chain))
-        far = list(base)
-        for at in range(5, 100, 12):
-            far[at] = far[at - 1]
-        texts.append(" ".join(far))
+    texts += texts[3:9]
     dice.shuffle(texts)
-    kept = {r.doc_id for r in simhash.keep_one(documents(spark, list(enumerate(texts)))).collect()}
-    assert kept == rows_left(texts)
+    df = documents(spark, list(enumerate(texts)))
+    # names that the steps use themselves
+    for name in ("kept_node", "kept_id", "root", "first", "fp", "row", "rank", "a.b"):
+        df = df.withColumn(name, F.lit(name))
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == rows_left(texts)
+
+
+def test_links_do_not_depend_on_how_deep_the_shuffle_deals(spark):
+    dice = random.Random(8)
+    values = {dice.getrandbits(64) for _ in range(60)}
+    for v in list(values):
+        values |= {v ^ sum(1 << b for b in dice.sample(range(64), n)) for n in (1, 3, 4, 5, 9)}
+    df = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
+    groups = []
+    for bits in (4, 7):
+        nodes = simhash.connected(simhash.fingerprint_links(df, bits=bits)).collect()
+        groups.append({(r.node, r.root) for r in nodes})
+    assert groups[0] == groups[1] and len(groups[0]) > 200
+    assert [simhash.top_bits(n) for n in (0, 1 << 24, 1 << 25, 1 << 30, 1 << 60)] == [4, 4, 5, 10, 16]
 
 
 # --- language model ---------------------------------------------------------------
@@ -503,7 +513,12 @@ def plain_poisson(u, rate):
     return k
 
 
-def test_mixing(spark):
+def plain_draw(id, text):
+    name = f"mix|{'null' if id is None else id}|{hashlib.md5((text or '').encode()).hexdigest()}"
+    return (int(hashlib.md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+
+
+def test_mixing(spark, monkeypatch):
     rows = [(i, f"t{i}", "hot" if i % 3 == 0 else None if i % 3 == 1 else f"s{i % 7}") for i in range(600)] + [(0, "t0", "hot"), (None, "n", "hot")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("copy_", F.lit(1))
     weights = {"hot": 1.0, None: 3.0, "s1": 0.5, "s2": 0.0}
@@ -513,12 +528,17 @@ def test_mixing(spark):
     want = collections.Counter()
     for i, t, s in rows:
         rate = weights.get(s, 0.0) / total * 2.0 * len(rows) / n[s]
-        digits = hashlib.md5(f"mix|{'null' if i is None else i}".encode()).hexdigest()[:13]
-        u = (int(digits, 16) + 0.5) / 2**52
+        u = plain_draw(i, t)
         want[i, t, s] += plain_poisson(u, rate) if rate else 0
     assert collections.Counter((r.doc_id, r.text, r.source) for r in found) == +want
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 1)  # many sources are joined
+    joined = mixing.mix_sources(df, weights=weights, size=2.0, copy="copy").collect()
+    assert collections.Counter(joined) == collections.Counter(found)
     assert mixing.mix_sources(df).columns == df.columns
     assert mixing.mix_sources(df.limit(0)).count() == 0
+    for clash in ({"copy": "copy_"}, {"order": "TEXT"}):
+        with pytest.raises(ValueError, match="already"):
+            mixing.mix_sources(df, **clash)
     assert mixing.mix_sources(df, weights={"absent": 1.0}).count() == 0
     with pytest.raises(ValueError, match="the limit"):
         mixing.mix_sources(df, weights={"s1": 1.0}, size=10_000.0)
@@ -528,15 +548,28 @@ def test_a_source_of_one_row_among_many(spark):
     """Derived rates have no limit, and large ones are the SQL's."""
     n = 5000  # equal shares give the rate that the default gives at about 6 million rows
     source = F.when(F.col("id") == 77, F.lit(None)).otherwise(F.lit("web")).cast("string")
-    df = spark.range(n).select(F.col("id").alias("doc_id"), source.alias("source"))
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), source.alias("source"))
     found = mixing.mix_sources(df, temperature=0.0).groupBy("source").count().collect()
     rate = n / 2
-    u = (int(hashlib.md5(b"mix|77").hexdigest()[:13], 16) + 0.5) / 2**52
+    u = plain_draw(77, "t")
     got = {r.source: r["count"] for r in found}
     assert rate > mixing.MAX_RATE and got[None] == plain_large_poisson(u, rate)
     assert abs(got["web"] - (n - rate)) < 6 * math.sqrt(n)
 
 
+@pytest.mark.parametrize("id", [None, 5])
+def test_rows_that_share_an_id_are_drawn_each_by_itself(spark, id):
+    """A third of all rows without an id, or with one id, neither comes nor goes as a whole, and is not dealt to one place."""
+    n = 6000
+    rows = [(id if i % 3 == 0 else 10 + i, f"t{i}", "a" if i % 2 else "b") for i in range(n)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.mix_sources(df)
+    shared = found.where(F.col("doc_id").eqNullSafe(F.lit(id)))
+    per_part = [r["count"] for r in shared.groupBy(F.spark_partition_id()).count().collect()]
+    assert abs(sum(per_part) - n / 3) < 6 * math.sqrt(n / 3)
+    assert len(per_part) == 1 or max(per_part) < 0.6 * sum(per_part)
+
+
 def plain_large_poisson(u, rate):
     k, total = 0, 0.0
     while True:

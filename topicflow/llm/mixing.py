@@ -3,9 +3,10 @@
 Each source has a target repetition rate: its share of the mix divided by its share of
 the input.  A document appears as often as a Poisson variable of that mean says, found by
 inverting the distribution's cumulative function at a uniform number that the document's
-id and a seed hash to.  So the mix needs no state, no ordering and no counting beyond one
+id, its text and a seed hash to.  So the mix needs no state, no ordering and no counting beyond one
 row per source; it is the same on every run, and a document's count does not depend on
-what other tasks hold.  Copies are then dealt out by a hash of (seed, id, copy) and
+what other tasks hold.  The text has a part in the hash, so that rows without an id, or with one
+id, are drawn each by itself.  Copies are then dealt out by a hash of (seed, id, text, copy) and
 sorted by it, which is a random order of the whole mix.
 """
 
@@ -16,7 +17,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from topicflow.llm.common import fresh_name
+from topicflow.llm.common import fresh_name, written
 
 SEED = "mix"
 #: Without given weights a source weighs as its number of documents to this power.
@@ -24,6 +25,8 @@ TEMPERATURE = 0.5
 #: Above it a document would be repeated so often that the given weights are surely a mistake.  Weights that
 #: follow from the sources' sizes have no limit: at the default temperature no rate is above the root of the rows.
 MAX_RATE = 1000
+#: Sources that are looked up in a broadcast table; beyond it they are joined.
+BROADCAST_SOURCES = 1 << 12
 #: From this rate on the probabilities of counts far below it are left out.
 LARGE_RATE = 400
 
@@ -61,9 +64,15 @@ def source_rates(
     return weighed.select("source_key", "n", rate.alias("rate"))
 
 
-def uniform(seed: str, id: Column) -> Column:
-    """A number between 0 and 1 from 52 bits of the id's hash."""
-    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(id.cast("string"), F.lit("null")))), 1, 13)
+def _drawn(seed: str, id: Column, text: Column) -> Column:
+    """What a row is drawn by: the seed, its id and a digest of its text."""
+    digest = F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+    return F.concat_ws("|", F.lit(seed), F.coalesce(id.cast("string"), F.lit("null")), digest)
+
+
+def uniform(name: Column) -> Column:
+    """A number between 0 and 1 from 52 bits of the name's hash."""
+    digits = F.substring(F.md5(name.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
@@ -94,35 +103,44 @@ def mix_sources(
     df: DataFrame,
     id: str = "doc_id",
     source: str = "source",
+    text: str = "text",
     weights: Mapping[str | None, float] | None = None,
     temperature: float = TEMPERATURE,
     size: float = 1.0,
     seed: str = SEED,
     copy: str | None = None,
     order: str | None = None,
+    max_rate: float = MAX_RATE,
 ) -> DataFrame:
     """The mix: the columns of ``df``, and, where they are named, a ``copy`` number and the ``order`` key.
 
-    A null source is a source of its own.  Rows with equal or null ids share one number of
-    copies per source; a repeated row is repeated by itself.  Texts play no part.  An empty
-    table gives an empty mix, and so do weights that name none of its sources.
+    A null source is a source of its own.  Rows with the same id and text share one number of copies per
+    source; a repeated row is repeated by itself.  Null and empty texts are alike.  An empty
+    table gives an empty mix, and so do weights that name none of its sources.  ``copy`` and ``order`` must
+    not be columns of ``df``.  Given weights that would repeat a source more than ``max_rate`` times are an error.
     """
-    rates = source_rates(df, source, weights, temperature, size)
-    highest = rates.agg(F.max("rate")).first()[0]
-    if weights is not None and highest is not None and (highest > MAX_RATE or math.isnan(highest)):
-        raise ValueError(f"a source would be repeated {highest:.0f} times; the limit is {MAX_RATE}")
-    key, cdf, least, number = (fresh_name(df, n) for n in ("_source_key", "_cdf", "_least", "_copy"))
+    for name in (copy, order):
+        if name is not None and fresh_name(df, name) != name:
+            raise ValueError(f"the table has a column {name} already")
+    rates = written(source_rates(df, source, weights, temperature, size), "rates")
+    sources, highest = rates.agg(F.count(F.lit(1)), F.max("rate")).first()
+    if weights is not None and highest is not None and (highest > max_rate or math.isnan(highest)):
+        raise ValueError(f"a source would be repeated {highest:.0f} times; the limit is {max_rate}")
+    key, cdf, least, number, drawn = (fresh_name(df, n) for n in ("_source_key", "_cdf", "_least", "_copy", "_drawn"))
     order_key = order or fresh_name(df, "_order")
-    # one row per source; Spark broadcasts them while their measured size allows, else splits the hot source
+    # one row per source: few of them are looked up where the rows are; among many none is hot enough to matter, or Spark splits it
     table = rates.select(F.col("source_key").alias(key), cumulative(F.col("rate")).alias(cdf), least_count(F.col("rate")).alias(least))
-    rows = df.withColumn(key, _key(source)).join(table, key)
-    draw = uniform(seed, F.col(id))
+    table = F.broadcast(table) if sources <= BROADCAST_SOURCES else table
+    rows = df.withColumns({key: _key(source), drawn: _drawn(seed, F.col(id), F.col(text))}).join(table, key)
+    draw = uniform(F.col(drawn))
     times = F.col(least) + F.size(F.filter(F.col(cdf), lambda c: c < draw))
     copies = rows.select(
-        *df.columns, F.explode(F.when(times > 0, F.sequence(F.lit(1), times))).alias(number)
+        *df.columns, drawn, F.explode(F.when(times > 0, F.sequence(F.lit(1), times))).alias(number)
     )
-    name = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id).cast("string"), F.lit("null")), F.col(number).cast("string"))
-    dealt = copies.withColumn(order_key, F.md5(name)).repartition(F.col(order_key)).sortWithinPartitions(order_key)
+    name = F.concat_ws("|", drawn, F.col(number).cast("string"))
+    # copies of a row that very many tasks hold are told apart by the task, so they do not all go to one place
+    dealt = copies.withColumn(order_key, F.md5(name.cast("binary"))).repartition(F.col(order_key), F.spark_partition_id())
+    dealt = dealt.sortWithinPartitions(order_key)
     kept = [F.col(c) for c in df.columns]
     if copy:
         kept.append(F.col(number).alias(copy))

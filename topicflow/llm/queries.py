@@ -128,15 +128,15 @@ def op8_karmarkar_karp(spark: SparkSession, sf_dir: str) -> DataFrame:
             SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS c FROM terms)
         GROUP BY source
     ), draws AS (
-        SELECT d.*, (CAST('0x' || substr(md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
-        FROM documents d
+        SELECT *, (CAST('0x' || substr(md5(name), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+        FROM (SELECT *, 'mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || md5(coalesce(text, '')) AS name FROM documents)
     ), counted AS (
         SELECT d.*, len(list_filter(c.cdf, lambda x: x < d.u)) AS times
         FROM draws d JOIN cdfs c ON d.source IS NOT DISTINCT FROM c.source
     ), copies AS (
-        SELECT doc_id, text, lang, source, n_chars, CAST(unnest(range(1, times + 1)) AS INTEGER) AS copy FROM counted
+        SELECT doc_id, text, lang, source, n_chars, name, CAST(unnest(range(1, times + 1)) AS INTEGER) AS copy FROM counted
     )
-    SELECT *, md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || CAST(copy AS VARCHAR)) AS shuffle_key FROM copies
+    SELECT * EXCLUDE (name), md5(name || '|' || CAST(copy AS VARCHAR)) AS shuffle_key FROM copies
     """
 )
 def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
