@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicflow.llm.common import shared
+from topicflow.llm.common import T, shared
 
 #: Fixed value: how a byte-level tokenizer cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -105,12 +105,8 @@ class Coder:
         self.pattern, self.ascii_pattern = regex.compile(WORDS), re.compile(ASCII_WORDS)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         ids = self.tokens
-        size = max([*ids.values(), *self.added.values(), 0]) + 1
-        self.pieces: list[bytes] = [b""] * size
-        for token, i in ids.items():
-            self.pieces[i] = token
-        for token, i in self.added.items():
-            self.pieces[i] = token.encode()
+        self.pieces = pieces(vocabulary)
+        size = len(self.pieces)
         self.single = [ids.get(bytes([b]), -1) for b in range(256)]
         if -1 in self.single:
             raise ValueError("the vocabulary lacks single bytes")
@@ -361,21 +357,39 @@ class Coder:
         return next(self.encode_all([text]))
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids; bytes that are no UTF-8 become replacement characters, ids out of range nothing."""
-        ids = np.asarray(ids, np.int64)
-        ids = ids[(ids >= 0) & (ids < self.size)]
-        return b"".join(map(self.pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return decoded(self.pieces, ids)
 
 
-_SENT: dict[tuple[str, str], Callable[[], Vocabulary]] = {}
+def pieces(vocabulary: Vocabulary) -> list[bytes]:
+    """The bytes of each id."""
+    whole = vocabulary.tokens | {token.encode(): i for token, i in vocabulary.added.items()}
+    found = [b""] * (max(whole.values(), default=0) + 1)
+    for token, i in whole.items():
+        found[i] = token
+    return found
+
+
+def decoded(pieces: list[bytes], ids: np.ndarray) -> str:
+    """The text of ids; bytes that are no UTF-8 become replacement characters, ids out of range nothing."""
+    ids = np.asarray(ids, np.int64)
+    ids = ids[(ids >= 0) & (ids < len(pieces))]
+    return b"".join(map(pieces.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+_SENT: dict[tuple[str, str, str], Callable] = {}
+
+
+def _sent(spark: SparkSession, path: str, name: str, value: Callable[[Vocabulary], T]) -> Callable[[], T]:
+    """A function for tasks that gives what is made of the vocabulary; it is sent once per application."""
+    key = (spark.sparkContext.applicationId, path, name)
+    if key not in _SENT:
+        _SENT[key] = shared(spark, value(load_vocabulary(path)))
+    return _SENT[key]
 
 
 def _coders(spark: SparkSession, path: str) -> Callable[[], Coder]:
     """A function for tasks that gives the coder; a Python worker builds it once, whatever tasks it runs."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SENT:
-        _SENT[key] = shared(spark, load_vocabulary(path))
-    sent = _SENT[key]
+    sent = _sent(spark, path, "vocabulary", lambda v: v)
 
     def coder() -> Coder:
         vocabulary = sent()
@@ -399,18 +413,19 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
         ends = np.cumsum([0, *(len(b) // 4 for b in found)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
-    return df.withColumn(out, ids(F.col(text)))
+    # Spark repeats a deterministic function in each that uses its result; encoding once is dearer than handing ids on
+    return df.withColumn(out, ids.asNondeterministic()(F.col(text)))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the text of an array of ids; null for null."""
-    coder = _coders(df.sparkSession, path)
+    known = _sent(df.sparkSession, path, "pieces", pieces)  # all that decoding needs
 
     @F.arrow_udf("string")
     def texts(found: pa.Array) -> pa.Array:
-        decode_one, values, ends = coder().decode, found.values.to_numpy(zero_copy_only=False), found.offsets.to_pylist()
+        of, values, ends = known(), found.values.to_numpy(zero_copy_only=False), found.offsets.to_pylist()
         null = found.is_null().to_pylist()
-        return pa.array([None if n else decode_one(values[a:b]) for n, a, b in zip(null, ends, ends[1:])], pa.string())
+        return pa.array([None if n else decoded(of, values[a:b]) for n, a, b in zip(null, ends, ends[1:])], pa.string())
 
     return df.withColumn(out, texts(F.col(ids)))
 
