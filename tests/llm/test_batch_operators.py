@@ -430,9 +430,14 @@ def test_archives(spark):
     path = work_dir(spark, "archives")
     warc.write_archives(warc.records(df), path)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")  # records and magics across splits
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")  # records and magics across splits
     try:
-        found = warc.read_archives(spark, path).collect()
+        assert warc.split_bytes(spark) == 4 << 10
+        planned = warc.read_archives(spark, path)
+        splits = warc._stored(spark, path, warc.VERSION).where("bytes IS NOT NULL").groupBy("file").count().agg(F.max("count")).first()[0]
+        assert splits >= 4  # pointers have somewhere to jump
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "50k")  # splits found once stay as they were
+        found = planned.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(found) == len(rows)

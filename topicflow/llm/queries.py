@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -94,8 +95,12 @@ def op6_bpe_speculative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op7_warc_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of a few splits each, so that chains run on from split to split."""
     path = work_dir(spark, "archives")
-    warc.write_archives(warc.records(table(spark, sf_dir, "pages", "page_id", "url", "html")), path, compression="gzip")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    size = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)) + warc.HEADER_BYTES)).first()[0] or 0
+    splits = math.ceil(size / warc.split_bytes(spark))
+    warc.write_archives(warc.records(pages), path, archives=max(1, splits // 2))
     found = warc.read_archives(spark, path, content=False)
     revisit = F.col("record_type") == "revisit"
     declared = F.regexp_extract("http_headers", r"(?i)content-length: *(\d+)", 1).cast("long")

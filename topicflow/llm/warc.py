@@ -5,7 +5,8 @@ splits the archives at every occurrence, so each piece but a file's first is a c
 record.  A candidate's header says how long it is, and so where its successor starts.
 Real records are those reached from the file's start by going from record to successor.
 
-Each split resolves its own candidates: for each one, where its chain leaves the split.
+The archives are read once, into a table of candidates: how Spark cuts them may change from one
+reading to the next.  Each split resolves its own candidates: for each one, where its chain leaves the split.
 What remains is one pointer for each place where a split can be entered.  Pointer jumping
 over these marks the places reached from the files' starts: each round doubles how far a
 pointer goes, so a file of n splits takes log2(n) rounds.  Then each split walks its chain
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,6 +31,8 @@ from topicflow.llm.common import utf8, written
 VERSION = "1.1"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: About as much as a record's headers take.
+HEADER_BYTES = 700
 # Fixed value: the letters of base32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -36,9 +40,9 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 # --- writing ----------------------------------------------------------------------
 
 
-def base32_sha1(data: Column) -> Column:
-    """The SHA-1 of bytes as 32 letters."""
-    digits = F.upper(F.sha1(data))
+def base32(sha1: Column) -> Column:
+    """A SHA-1 in hexadecimal digits as 32 letters."""
+    digits = F.upper(sha1)
     letters = []
     for at in range(0, 40, 5):  # five hexadecimal digits are four letters
         bits = F.conv(F.substring(digits, at + 1, 5), 16, 10).cast("int")
@@ -77,12 +81,13 @@ def records(
         F.col(id).cast("long").alias("id"),
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("html"),
-    ).withColumn("digest", base32_sha1(utf8("html")))
-    # a digest that many rows have is one row here; of the join's sides only the rows can be skewed, which Spark splits
-    latest = rows.groupBy("digest").agg(F.max("id").alias("latest"))
-    joined = rows.join(latest, "digest")
+    ).withColumn("sha1", F.sha1(utf8("html")))
+    # only digests that several rows have are joined; Spark broadcasts them if they are few and else splits the skewed side
+    copies = rows.groupBy("sha1").agg(F.max("id").alias("latest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = written(copies.select("sha1", "latest"), "copies")
+    joined = rows.join(copies, "sha1", "left").withColumn("digest", base32(F.col("sha1")))
     size = F.octet_length("html").cast("long")
-    revisit = (size >= min_revisit_bytes) & ~F.col("id").eqNullSafe(F.col("latest"))
+    revisit = (size >= min_revisit_bytes) & F.col("latest").isNotNull() & ~F.col("id").eqNullSafe(F.col("latest"))
     kind = F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size.cast("string"), F.lit(END)
@@ -111,13 +116,21 @@ def records(
     return joined.select(F.concat(header, block).alias("record"))
 
 
-def write_archives(records: DataFrame, path: str, compression: str = "none") -> None:
-    """Write the column ``record`` as archives, one for each partition.
+def split_bytes(spark: SparkSession) -> int:
+    """The size of the splits in which Spark reads large files."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", spark.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    return int(number) << 10 * " kmgt".index(unit or " ")
+
+
+def write_archives(records: DataFrame, path: str, compression: str = "none", archives: int | None = None) -> None:
+    """Write the column ``record`` as archives, one for each partition or at most ``archives`` of them.
 
     ``none`` leaves archives that are read in splits; a ``gzip`` archive takes a quarter of
     the room and is read by one task, so it wants partitions of no more than a task's size.
     """
-    records.select("record").write.option("lineSep", END).option("compression", compression).text(path)
+    rows = records.select("record")
+    rows = rows.coalesce(archives) if archives else rows
+    rows.write.option("lineSep", END).option("compression", compression).text(path)
 
 
 # --- reading ----------------------------------------------------------------------
@@ -161,55 +174,88 @@ def _placed(batches: Iterator[pa.RecordBatch], magic: int) -> Iterator[tuple[tup
             at += len(piece) + magic
 
 
-def _chains(batches: Iterator[pa.RecordBatch], magic: int) -> Iterator[pa.RecordBatch]:
-    """One row for each split: its length, and of each candidate where it starts, ends and leaves the split."""
-    schema = pa.schema(
-        [("file", pa.string()), ("block", pa.int64()), ("bytes", pa.int64())]
-        + [(name, pa.list_(pa.int64())) for name in ("starts", "nexts", "exits")]
-    )
-
-    def row(here: tuple[str, int], end: int, starts: list[int], nexts: list[int]) -> pa.RecordBatch:
-        place = {s: i for i, s in enumerate(starts)}
-        exits: list[int | None] = [None] * len(starts)
-        for i in range(len(starts) - 1, -1, -1):
-            to = nexts[i]
-            if to is None:
-                continue
-            if to >= end - magic:
-                exits[i] = to
-            elif to in place:
-                exits[i] = exits[place[to]]
-        values = [[here[0]], [here[1]], [end], [starts], [nexts], [exits]]
-        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
+STORED = (
+    "file string, block long, start long, value binary, "
+    "bytes long, starts array<long>, nexts array<long>, exits array<long>"
+)
+_STORED = pa.schema(
+    [("file", pa.string()), ("block", pa.int64()), ("start", pa.int64()), ("value", pa.binary()), ("bytes", pa.int64())]
+    + [(name, pa.list_(pa.int64())) for name in ("starts", "nexts", "exits")]
+)
+#: Bytes and pieces of a batch that a task hands on.
+HELD_BYTES, HELD_PIECES = 1 << 24, 10_000
+
+
+def _chain(here: tuple[str, int], end: int, starts: list[int], nexts: list[int], magic: int) -> pa.RecordBatch:
+    """The row of a split: its length, and of each candidate where it starts, ends and leaves the split."""
+    place = {s: i for i, s in enumerate(starts)}
+    exits: list[int | None] = [None] * len(starts)
+    for i in range(len(starts) - 1, -1, -1):
+        to = nexts[i]
+        if to is None:
+            continue
+        if to >= end - magic:
+            exits[i] = to
+        elif to in place:
+            exits[i] = exits[place[to]]
+    values = [[here[0]], [here[1]], [None], [None], [end], [starts], [nexts], [exits]]
+    return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _STORED)], schema=_STORED)
+
+
+def _split(batches: Iterator[pa.RecordBatch], magic: int) -> Iterator[pa.RecordBatch]:
+    """The candidates of each split with their places, and after them the split's own row."""
+    held: list[list] = [[], [], [], []]
+    size = 0
+
+    def candidates() -> pa.RecordBatch:
+        n = len(held[0])
+        columns = [*held, *[[None] * n] * 4]
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, _STORED)], schema=_STORED)
 
     open_, end, starts, nexts = None, 0, [], []
     for here, start, piece in _placed(batches, magic):
         if here != open_:
             if open_:
-                yield row(open_, end, starts, nexts)
+                yield _chain(open_, end, starts, nexts, magic)
             open_, starts, nexts = here, [], []
         end = start + magic + len(piece) + magic
         if here[1] > 0 or start >= 0:  # what comes before a file's first magic is no candidate
             found = _header(piece)
             starts.append(start)
             nexts.append(start + magic + found[1] + int(found[0]["content-length"]) + len(END) if found else None)
+            for column, value in zip(held, (*here, start, piece)):
+                column.append(value)
+            size += len(piece)
+        if size > HELD_BYTES or len(held[0]) == HELD_PIECES:
+            yield candidates()
+            held, size = [[], [], [], []], 0
+    if held[0]:
+        yield candidates()
     if open_:
-        yield row(open_, end, starts, nexts)
+        yield _chain(open_, end, starts, nexts, magic)
+
+
+def _stored(spark: SparkSession, path: str, version: str) -> DataFrame:
+    """The archives' candidates and splits as a table (``STORED``).
 
+    Spark cuts files into splits anew whenever it reads them, and by settings and the number of cores that
+    may change meanwhile.  So they are read once, and all that follows works on what that reading found.
+    """
+    magic = len(f"WARC/{version}\r\n")
+    return written(_pieces(spark, path, version).mapInArrow(lambda batches: _split(batches, magic), STORED), "pieces")
 
-def verified(spark: SparkSession, path: str, version: str = VERSION) -> DataFrame:
+
+def verified(stored: DataFrame, path: str, version: str = VERSION) -> DataFrame:
     """(file, block, start, offset, whole, owner) of all candidates that are records or parts of one.
 
     ``start``: within the block; ``offset``: within the file.  ``owner``: the offset of the
     record that a candidate is or lies in.  Raises an error if a chain breaks off.
     """
     magic = len(f"WARC/{version}\r\n")
-    blocks = _pieces(spark, path, version).mapInArrow(
-        lambda batches: _chains(batches, magic),
-        "file string, block long, bytes long, starts array<long>, nexts array<long>, exits array<long>",
-    )
-    blocks = written(blocks, "blocks")
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    blocks = stored.where("bytes IS NOT NULL").select("file", "block", "bytes", "starts", "nexts", "exits")
+    in_file = Window.partitionBy("file").orderBy("block")  # a row for each split
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    after = in_file.rowsBetween(1, Window.unboundedFollowing)
     blocks = written(blocks.withColumn("base", F.coalesce(F.sum("bytes").over(before), F.lit(0))), "based")
     candidates = blocks.select(
         "file", "block", "base", F.explode(F.arrays_zip("starts", "exits")).alias("c")
@@ -229,10 +275,9 @@ def verified(spark: SparkSession, path: str, version: str = VERSION) -> DataFram
         if more.count() == reached.count():
             break
         reached = more
+        # a pointer goes on to where its target points; one that points nowhere further ends
         second = hop.select("file", F.col("at").alias("to"), F.col("to").alias("after"))
-        jumps = written(
-            jumps.join(second, ["file", "to"]).select("file", "block", "at", F.col("after").alias("to")), "jumps"
-        ).unionByName(jumps.join(second, ["file", "to"], "left_anti").select("file", "block", "at", F.lit(None).cast("long").alias("to")))
+        jumps = jumps.join(second, ["file", "to"], "left").select("file", "block", "at", F.col("after").alias("to"))
         jumps = written(jumps, "jumps")
 
     last = reached.join(candidates, ["file", "at"]).groupBy("file").agg(F.max("to").alias("last"))
@@ -242,32 +287,39 @@ def verified(spark: SparkSession, path: str, version: str = VERSION) -> DataFram
 
     entries = reached.join(candidates.select("file", "block", "at"), ["file", "at"]).select("file", "block", F.col("at").alias("entry"))
 
-    @F.arrow_udf("array<boolean>")
+    @F.arrow_udf("array<struct<start: long, real: boolean, owner: long, alone: boolean>>")
     def walked(starts: pa.Array, nexts: pa.Array, entry: pa.Array) -> pa.Array:
-        found = []
+        """Which candidates of a split are records, the last record up to each, and whether one follows it at once."""
+        rows = []
         for s, n, e in zip(starts.to_pylist(), nexts.to_pylist(), entry.to_pylist()):
             place, real = {x: i for i, x in enumerate(s)}, [False] * len(s)
             while e in place:
                 real[place[e]] = True
                 e = n[place[e]]
-            found.append(real)
-        return pa.array(found, pa.list_(pa.bool_()))
-
-    rows = blocks.join(entries, ["file", "block"], "left").select(
-        "file",
-        "block",
-        "base",
-        F.explode(F.arrays_zip("starts", "nexts", walked("starts", "nexts", F.col("entry") - F.col("base")).alias("real"))).alias("c"),
+            owner, row = None, []
+            for i, (start, is_real) in enumerate(zip(s, real)):
+                owner = start if is_real else owner
+                row.append({"start": start, "real": is_real, "owner": owner, "alone": real[i + 1] if i + 1 < len(s) else None})
+            rows.append(row)
+        kind = pa.struct([("start", pa.int64()), ("real", pa.bool_()), ("owner", pa.int64()), ("alone", pa.bool_())])
+        return pa.array(rows, pa.list_(kind))
+
+    entry = F.col("entry") - F.col("base")
+    found = blocks.join(entries, ["file", "block"], "left").select("file", "block", "base", walked("starts", "nexts", entry).alias("found"))
+    found = written(found, "walked")
+    # what a split hands to those after it, and gets from them
+    ends_with, begins_with = F.get("found", F.size("found") - 1)["owner"] + F.col("base"), F.get("found", F.lit(0))["real"]
+    found = found.withColumns(
+        {
+            "carried": F.last(ends_with, ignorenulls=True).over(before),
+            "begins": F.coalesce(F.first(begins_with, ignorenulls=True).over(after), F.lit(True)),
+        }
     )
-    rows = rows.select("file", "block", F.col("c.starts").alias("start"), (F.col("base") + F.col("c.starts")).alias("offset"), (F.col("base") + F.col("c.nexts")).alias("end"), F.col("c.real").alias("real"))
-    in_file = Window.partitionBy("file").orderBy("offset")
-    owner = F.last(F.when(F.col("real"), F.col("offset")), ignorenulls=True).over(
-        in_file.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    following = F.coalesce(F.lead("real").over(in_file), F.lit(True))
-    rows = rows.select("*", owner.alias("owner"), following.alias("alone"))
-    whole = F.col("real") & F.col("alone")
-    return rows.select("file", "block", "start", "offset", whole.alias("whole"), "owner").where("owner IS NOT NULL")
+    rows = found.select("file", "block", "base", "carried", "begins", F.inline("found"))
+    whole = F.col("real") & F.coalesce("alone", "begins")
+    owner = F.coalesce(F.col("base") + F.col("owner"), F.col("carried"))
+    rows = rows.select("file", "block", "start", (F.col("base") + F.col("start")).alias("offset"), whole.alias("whole"), owner.alias("owner"))
+    return rows.where("owner IS NOT NULL")
 
 
 RECORD = (
@@ -308,31 +360,23 @@ def read_archives(spark: SparkSession, path: str, content: bool = True, version:
     ``payload`` is null unless ``content``; its size and digest are computed from it either
     way.  Header names are in lower case.  Empty files have no records.
     """
-    magic = len(f"WARC/{version}\r\n")
-    found = written(verified(spark, path, version), "verified")
-    pieces = _pieces(spark, path, version)
+    stored = _stored(spark, path, version)
+    found = written(verified(stored, path, version), "verified")
+    pieces = stored.where("value IS NOT NULL").select("file", "block", "start", "value")
     names = ["record_type", "headers", "http_headers", "payload", "payload_bytes", "payload_digest"]
     types = RECORD.split(", ", 2)[2]
 
     def one_piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(keys: list, values: list[bytes]) -> pa.RecordBatch:
-            arrays = [pa.array([k[0][0] for k in keys], pa.string()), pa.array([k[0][1] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())]
-            arrays += [pa.array(c, t) for c, t in zip(_parsed(values, content), _PARSED_TYPES)]
-            return pa.RecordBatch.from_arrays(arrays, names=["file", "block", "start", *names])
-
-        keys, values, held = [], [], 0
-        for here, start, piece in _placed(batches, magic):
-            header = _header(piece)
-            if not header or header[1] + int(header[0]["content-length"]) + len(END) != len(piece):
-                continue
-            keys.append((here, start))
-            values.append(piece)
-            held += len(piece)
-            if held > 1 << 24 or len(keys) == 10_000:
-                yield out(keys, values)
-                keys, values, held = [], [], 0
-        if keys:
-            yield out(keys, values)
+        for batch in batches:
+            values, kept = [], []
+            for i, piece in enumerate(batch.column(3).to_pylist()):
+                header = _header(piece)
+                if header and header[1] + int(header[0]["content-length"]) + len(END) == len(piece):
+                    kept.append(i)
+                    values.append(piece)
+            place = batch.select([0, 1, 2]).take(pa.array(kept, pa.int64()))
+            arrays = [pa.array(c, t) for c, t in zip(_parsed(values, content), _PARSED_TYPES)]
+            yield pa.RecordBatch.from_arrays([*place.columns, *arrays], names=["file", "block", "start", *names])
 
     whole = pieces.mapInArrow(one_piece, f"file string, block long, start long, {types}")
     whole = whole.join(found.where("whole").select("file", "block", "start", "offset"), ["file", "block", "start"])
@@ -342,11 +386,6 @@ def read_archives(spark: SparkSession, path: str, content: bool = True, version:
     if parts.isEmpty():
         return whole
 
-    def with_place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (file, block), start, piece in _placed(batches, magic):
-            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([block]), pa.array([start]), pa.array([piece], pa.binary())], names=["file", "block", "start", "value"])
-
-    pieces = pieces.mapInArrow(with_place, "file string, block long, start long, value binary")
     # one record's pieces are one row in the end, as its content is
     mark = F.lit(f"WARC/{version}\r\n".encode())
     text = F.transform(F.array_sort(F.collect_list(F.struct("start_in_file", "value"))), lambda p: p["value"])
