@@ -1,0 +1,82 @@
+"""Updates without a value: batch, live and state-store forms against rows worked out by hand."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_streaming import run, tuples
+
+from topicflow.operators import changelog, tables
+from topicflow.session import work_dir
+from topicflow.streaming import changelog as live, jobs, processors
+
+SCHEMA = "seq bigint, key string, value string"
+UPDATES = [
+    (1, "ann", "RED"),
+    (2, "bob", "RED"),
+    (3, "ann", None),
+    (4, "ann", None),  # nothing is left to take out
+    (5, "cat", None),  # a key that never had a value
+    (6, "bob", "BLUE"),
+    (7, "ann", "BLUE"),
+    (8, "bob", None),
+    (9, "dan", "GREEN"),
+    (10, "dan", None),
+]
+#: (seq, step, value, delta)
+CHANGES = [
+    (1, 1, "RED", 1),
+    (2, 1, "RED", 1),
+    (3, 0, "RED", -1),
+    (6, 0, "RED", -1),
+    (6, 1, "BLUE", 1),
+    (7, 1, "BLUE", 1),
+    (8, 0, "BLUE", -1),
+    (9, 1, "GREEN", 1),
+    (10, 0, "GREEN", -1),
+]
+#: The same with the count that each leaves.
+COUNTS = [(1, 1, "RED", 1), (2, 1, "RED", 2), (3, 0, "RED", 1), (6, 0, "RED", 0), (6, 1, "BLUE", 1), (7, 1, "BLUE", 2), (8, 0, "BLUE", 1), (9, 1, "GREEN", 1), (10, 0, "GREEN", 0)]
+NOW = {"RED": 0, "BLUE": 1, "GREEN": 0}
+SPLITS = [[10], [2, 3, 5], [3, 1, 1, 5]]
+
+
+@pytest.fixture
+def updates(spark):
+    return spark.createDataFrame(UPDATES, SCHEMA)
+
+
+def test_in_one_go(updates):
+    assert tuples(changelog.value_changes(updates, tombstones=True)) == CHANGES
+    assert tuples(changelog.running_value_count(updates, tombstones=True)) == COUNTS
+    assert tuples(changelog.running_value_count(updates, tombstones=True, hot_rows=2, slot_bits=1)) == COUNTS
+    assert {r.value: r.n for r in tables.count_by_current_value(updates, tombstones=True).collect()} == NOW
+    assert tuples(tables.latest_value(updates, tombstones=True)) == [("ann", "BLUE")]
+
+
+def test_without_tombstones_such_updates_do_not_count(updates):
+    valued = updates.where(F.col("value").isNotNull())
+    assert tuples(changelog.value_changes(updates)) == tuples(changelog.value_changes(valued, tombstones=True))
+    assert {r.value: r.n for r in tables.count_by_current_value(updates).collect()} == {"RED": 0, "BLUE": 2, "GREEN": 1}
+
+
+@pytest.mark.parametrize("split", SPLITS)
+def test_batch_by_batch(spark, split):
+    root = work_dir(spark, "job")
+    job = run(spark, UPDATES, SCHEMA, split, lambda rows: live.start_value_counts(rows, root, tombstones=True))
+    assert tuples(jobs.read_rows(spark, job)) == COUNTS
+    assert {r.value: r.n for r in live.value_counts(spark, job).collect()} == NOW
+
+
+@pytest.mark.parametrize("split", SPLITS[1:])
+def test_from_the_state_store(spark, split):
+    root, counts = work_dir(spark, "job"), work_dir(spark, "counts")
+    job = run(spark, UPDATES, SCHEMA, split, lambda rows: live.start_changes(rows, root, tombstones=True))
+    assert tuples(jobs.read_rows(spark, job)) == CHANGES
+    followed = live.start_change_counts(spark, job, counts).wait()
+    assert {r.value: r.n for r in jobs.read_table(spark, followed, ["value"]).collect()} == NOW
+
+
+def test_the_state_store_form_leaves_them_out_unless_asked(spark):
+    root = work_dir(spark, "job")
+    job = run(spark, UPDATES, SCHEMA, [10], lambda rows: jobs.start_append(processors.value_changes(rows), root))
+    batch = changelog.value_changes(spark.createDataFrame(UPDATES, SCHEMA))
+    assert tuples(jobs.read_rows(spark, job)) == tuples(batch)

@@ -86,8 +86,9 @@ def _arrived(seq: str, value: str, batch: int) -> Column:
     return F.struct(F.lit(batch).cast("bigint").alias("batch"), F.col(seq).alias("seq"), F.col(value).alias("value"))
 
 
-def _valued(df: DataFrame, key: str, value: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+def _valued(df: DataFrame, key: str, value: str, tombstones: bool = False) -> DataFrame:
+    keyed = F.col(key).isNotNull()
+    return df.where(keyed if tombstones else keyed & F.col(value).isNotNull())
 
 
 def value_changes(
@@ -98,14 +99,16 @@ def value_changes(
     initial: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     batch: int = 0,
+    tombstones: bool = False,
     **slots,
 ) -> DataFrame:
     """What each update does to the count of keys per value: (seq, step, value, delta).
 
     Step 0 takes the key out of its old value, step 1 puts it into the new one; both
-    are given when the value repeats.
+    are given when the value repeats.  Updates without a value are left out, or, as ``tombstones``, take the key
+    out of its old value and leave it without one.
     """
-    rows = _valued(df, key, value).select(key, seq, value)
+    rows = _valued(df, key, value, tombstones).select(key, seq, value)
     steps = running(
         rows,
         [key],
@@ -121,15 +124,15 @@ def value_changes(
     old = F.col("_old.value")
     change = F.array(
         F.when(old.isNotNull(), F.struct(F.lit(0).alias("step"), old.alias(value), (-_one()).alias("delta"))),
-        F.struct(F.lit(1).alias("step"), F.col(value), _one().alias("delta")),
+        F.when(F.col(value).isNotNull(), F.struct(F.lit(1).alias("step"), F.col(value), _one().alias("delta"))),
     )
     return steps.select(seq, F.explode(F.array_compact(change)).alias("_change")).select(seq, "_change.*")
 
 
 def value_changes_state(
-    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", batch: int = 0
+    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", batch: int = 0, tombstones: bool = False
 ) -> DataFrame:
-    return combined(_valued(df, key, value), [key], _arrived(seq, value, batch), F.max)
+    return combined(_valued(df, key, value, tombstones), [key], _arrived(seq, value, batch), F.max)
 
 
 def count_changes(
@@ -158,7 +161,9 @@ def running_value_count(
     seq: str = "seq",
     out: str = "n",
     hot_rows: int = HOT_ROWS,
+    tombstones: bool = False,
     **slots,
 ) -> DataFrame:
     """How many keys have the value after each update: (seq, step, value, n)."""
-    return count_changes(value_changes(df, key, value, seq, hot_rows=hot_rows, **slots), value, seq, out, **slots)
+    changes = value_changes(df, key, value, seq, hot_rows=hot_rows, tombstones=tombstones, **slots)
+    return count_changes(changes, value, seq, out, **slots)

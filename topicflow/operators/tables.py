@@ -20,23 +20,31 @@ def count_per_key(df: DataFrame, key: str = "word", out: str = "n") -> DataFrame
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(out))
 
 
-def latest_value(df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq") -> DataFrame:
-    """The value that arrived last for each key."""
+def latest_value(
+    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", tombstones: bool = False
+) -> DataFrame:
+    """The value that arrived last for each key.
+
+    A key whose last update has no value stays with null, or, with ``tombstones`` (batch only), is not in the table.
+    """
     rows = with_arrival(df).where(F.col(key).isNotNull())
-    return rows.groupBy(key).agg(F.max_by(value, F.struct(ARRIVED, seq)).alias(value))
+    table = rows.groupBy(key).agg(F.max_by(value, F.struct(ARRIVED, seq)).alias(value))
+    return table.where(F.col(value).isNotNull()) if tombstones else table
 
 
 def count_by_current_value(
-    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", out: str = "n"
+    df: DataFrame, key: str = "key", value: str = "value", seq: str = "seq", out: str = "n", tombstones: bool = False
 ) -> DataFrame:
     """How many keys have each value now; a value every key has left stays with 0.
 
+    Updates without a value are left out, or, as ``tombstones``, leave their key without one.
+
     Two facts are needed: each key's last value, and every value ever seen.  Both are in
     the newest ``seq`` of each (key, value), which is found first, by hash and before the
     shuffle.  Two grouping sets over that smaller table then give both facts, so no
     group is ever held whole and no join is needed.
     """
-    rows = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    rows = df.where(F.col(key).isNotNull() if tombstones else F.col(key).isNotNull() & F.col(value).isNotNull())
     newest = rows.groupBy(key, value).agg(F.max(seq).alias(seq))
     per_set = newest.select(key, F.col(value).alias("_seen"), F.col(value).alias("_value"), seq)
     per_set = per_set.groupingSets([[key], ["_seen"]], key, "_seen").agg(
@@ -44,6 +52,7 @@ def count_by_current_value(
     )
     return (
         per_set.select(F.when(F.col("_is_key") == 1, F.col("_last")).otherwise(F.col("_seen")).alias(value), "_is_key")
+        .where(F.col(value).isNotNull())
         .groupBy(value)
         .agg(F.sum(F.col("_is_key").cast("bigint")).alias(out))
     )

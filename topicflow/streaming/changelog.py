@@ -100,19 +100,22 @@ def start_running_balance(events: DataFrame, root: str, fresh: bool = False, **t
     return start_batches(events, at, advance, schema, **trigger)
 
 
-def start_value_counts(updates: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
+def start_value_counts(
+    updates: DataFrame, root: str, fresh: bool = False, tombstones: bool = False, **trigger
+) -> Job:
     """How many keys have each value, after each (key, seq, value) update.
 
     Two stateful steps with a topic of changes between them: what each update takes from
-    one value and gives to another, then the running count per value.
+    one value and gives to another, then the running count per value.  With ``tombstones`` an
+    update without a value takes its key out.
     """
     at = folders(root, fresh)
     latest = CarriedState(at, "latest", LATEST_STATE, F.max)
 
     def advance(batch: DataFrame, batch_id: int) -> DataFrame:
         topic = f"{at.table('changes')}/batch_id={batch_id}"
-        before = latest.take(changelog.value_changes_state(batch, batch=batch_id), batch_id)
-        found = changelog.value_changes(batch, initial=before, batch=batch_id)
+        before = latest.take(changelog.value_changes_state(batch, batch=batch_id, tombstones=tombstones), batch_id)
+        found = changelog.value_changes(batch, initial=before, batch=batch_id, tombstones=tombstones)
         found.write.mode("overwrite").parquet(topic)
         changes = batch.sparkSession.read.schema(CHANGES).parquet(topic)
         return changelog.count_changes(changes, initial=_value_counts(at).take(changelog.count_changes_state(changes), batch_id))
@@ -150,13 +153,13 @@ def balances(spark: SparkSession, job: Job) -> DataFrame:
 # --- the same as two jobs ---------------------------------------------------------
 
 
-def start_changes(updates: DataFrame, root: str, fresh: bool = False, **trigger) -> Job:
+def start_changes(updates: DataFrame, root: str, fresh: bool = False, tombstones: bool = False, **trigger) -> Job:
     """First job: each (key, seq, value) update becomes changes (seq, step, value, delta) in a topic of their own.
 
     The current value of each key is in the state store; the topic takes each change exactly once, also when a
     batch is run again.
     """
-    return start_append(processors.value_changes(updates), root, fresh, **trigger)
+    return start_append(processors.value_changes(updates, tombstones), root, fresh, **trigger)
 
 
 def start_change_counts(spark: SparkSession, changes: Job, root: str, fresh: bool = False, **options) -> Job:

@@ -125,11 +125,12 @@ def running_balance(events: DataFrame) -> DataFrame:
     return _run(rows, "key", RunningBalance(), rows.schema)
 
 
-def value_changes(updates: DataFrame) -> DataFrame:
+def value_changes(updates: DataFrame, tombstones: bool = False) -> DataFrame:
     """A stream of (seq, step, value, delta): what each (key, seq, value) update does to the keys per value.
 
-    Step 0 takes the key out of its old value, step 1 puts it into the new one.  An update without a value
-    takes the key out and forgets it.  Null keys are skipped.
+    Step 0 takes the key out of its old value, step 1 puts it into the new one.  Updates without a value are left
+    out, or, as ``tombstones``, take the key out and have it forgotten.  Null keys are skipped.
     """
-    rows = updates.where(F.col("key").isNotNull()).select("key", _number("seq").alias("seq"), "value")
+    rows = updates.where(F.col("key").isNotNull() if tombstones else F.col("key").isNotNull() & F.col("value").isNotNull())
+    rows = rows.select("key", _number("seq").alias("seq"), "value")
     return _run(rows, "key", ValueChanges(), "seq bigint, step int, value string, delta bigint")
