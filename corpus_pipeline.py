@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from topicflow.llm import bpe, mixing, simhash, toxicity
 from topicflow.llm.common import table, written
 
-TOKENIZER = os.environ.get("TOPICFLOW_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+TOKENIZER = os.environ.get("TOPICFLOW_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
