@@ -1,18 +1,20 @@
 """Hand-worked inputs and results."""
 
 SENTENCES = [
-    (0, "0", "A heron stands In the reeds"),
-    (1, "1", "the Reeds bend"),
-    (2, "2", "if rain falls herons are still"),
-    (3, "3", "Mist and rain are quiet guests"),
-    (4, "4", "Owls and otters are awake"),
+    (0, "0", "Low tide"),
+    (1, "1", "gulls circle the Harbour and the pier"),
+    (2, "2", "a LOW bell"),
+    (3, "3", "the tide turns at noon or later"),
+    (4, "4", "Harbour lights"),
+    (5, "5", "nobody rows out in fog"),
+    (6, "6", "the bell again"),
 ]
 SENTENCE_SCHEMA = "seq bigint, key string, value string"
 
 LOWER_COUNTS = {
-    **{"are": 3, "and": 2, "rain": 2, "reeds": 2, "the": 2},
+    **{"the": 4, "bell": 2, "harbour": 2, "low": 2, "tide": 2},
     **dict.fromkeys(
-        "a awake bend falls guests heron herons if in mist otters owls quiet stands still".split(), 1
+        "a again and at circle fog gulls in later lights nobody noon or out pier rows turns".split(), 1
     ),
 }
 

@@ -13,9 +13,11 @@ LOOSE_PAYMENT = "id string, name string, amount double, profile string, salary i
 @pytest.fixture(scope="module")
 def payments(spark):
     rows = [
-        ("p-17", "Odile", 42.5, "auditor ", 73),
-        ("p-18", None, None, None, None),
-        (None, "Odile", 1.0, "x", 5),
+        ("k/4", None, -3.25, None, 0),
+        ("k/9", "Tamsin", None, "", None),
+        ("", None, None, "clerk", -1),
+        (None, None, None, None, None),
+        (None, "", 7.0, None, 12),
     ]
     return spark.createDataFrame(rows, LOOSE_PAYMENT)
 
@@ -29,18 +31,18 @@ def topic(spark):
 def test_completion_and_rejects(payments):
     done = records.complete_records(payments, records.PAYMENT)
     assert sorted(tuple(r) for r in done.collect()) == [
-        ("p-17", "Odile", 42.5, "auditor ", 73),
-        ("p-18", "", 0.0, "developer", 100),
+        ("", "", 0.0, "clerk", -1),
+        ("k/4", "", -3.25, "developer", 0),
+        ("k/9", "Tamsin", 0.0, "", 100),
     ]
     assert done.columns == records.PAYMENT.fieldNames()
-    assert [tuple(r) for r in records.rejected_records(payments, records.PAYMENT).collect()] == [
-        (None, "Odile", 1.0, "x", 5, "id")
-    ]
+    rejected = [tuple(r) for r in records.rejected_records(payments, records.PAYMENT).collect()]
+    assert sorted(rejected, key=str) == [(None, "", 7.0, None, 12, "id"), (None, None, None, None, None, "id")]
 
 
 def test_strict_completion_stops_on_a_missing_field(payments):
     good = records.complete_records(payments.where("id is not null"), records.PAYMENT, strict=True)
-    assert good.count() == 2
+    assert good.count() == 3
     with pytest.raises(Exception, match="field id is required"):
         records.complete_records(payments, records.PAYMENT, strict=True).collect()
 

@@ -418,5 +418,5 @@ def test_peeks_are_kept_by_batch(spark):
             rows = sinks.peek(stream(spark, path, fixtures.SENTENCE_SCHEMA), "passing", last=F.max("seq"))
             recorder.wait(jobs.start_append(rows, root).query)
     found = metrics.peeked(spark, seen, "rows bigint, last bigint").orderBy("batch_id").collect()
-    assert [(r.batch_id, r.rows, r.last) for r in found] == [(0, 2, 1), (1, 1, 2), (2, 2, 4)]
+    assert [(r.batch_id, r.rows, r.last) for r in found] == [(0, 2, 1), (1, 1, 2), (2, 4, 6)]
     assert len({r.query_id for r in found}) == 1

@@ -65,7 +65,7 @@ def test_running_colours(lines, slots):
 def test_running_words(spark, slots):
     sentences = spark.createDataFrame(fixtures.SENTENCES, fixtures.SENTENCE_SCHEMA)
     counted = changelog.running_count(space_tokens(sentences, lower=True), **slots)
-    assert [(r.seq, r.n) for r in counted.where("word = 'are'").orderBy("seq").collect()] == [(2, 1), (3, 2), (4, 3)]
+    assert [(r.seq, r.n) for r in counted.where("word = 'the'").orderBy("seq", "pos").collect()] == [(1, 1), (1, 2), (3, 3), (6, 4)]
     last = counted.groupBy("word").agg(F.max("n").alias("n")).collect()
     assert {r.word: r.n for r in last} == fixtures.LOWER_COUNTS
 
