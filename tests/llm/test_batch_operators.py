@@ -378,7 +378,13 @@ def test_ids_are_the_librarys(spark, tokenizer):
         ids = tokenizer.encode(text_of[r.doc_id][0] or "", add_special_tokens=False).ids
         assert r.ids == ids
         assert r.decoded == tokenizer.decode(ids, skip_special_tokens=False)
-    digest = {r.doc_id: r for r in bpe.with_digests(df.select("doc_id", "ids", "decoded")).collect()}
+    digested = bpe.with_digests(df.select("doc_id", "text", "score"), TOKENIZER)
+    assert digested.columns == ["doc_id", "score", "n_tokens", "ids_sha256", "decoded_sha256"]
+    plan = digested._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("digests(text") == 1  # no text is encoded twice
+    with pytest.raises(ValueError, match="already"):
+        bpe.with_digests(df.withColumn("N_tokens", F.lit(1)), TOKENIZER)
+    digest = {r.doc_id: r for r in digested.collect()}
     ids = tokenizer.encode(texts[7], add_special_tokens=False).ids
     assert digest[7].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
     assert digest[7].n_tokens == len(ids)

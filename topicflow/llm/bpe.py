@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicflow.llm.common import T, shared
+from topicflow.llm.common import T, fresh_name, shared
 
 #: Fixed value: how a byte-level tokenizer cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -413,7 +413,7 @@ def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> Da
         ends = np.cumsum([0, *(len(b) // 4 for b in found)])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
 
-    # Spark repeats a deterministic function in each that uses its result; encoding once is dearer than handing ids on
+    # Spark repeats a deterministic function in each that uses its result, and handing ids on is cheaper than encoding again
     return df.withColumn(out, ids.asNondeterministic()(F.col(text)))
 
 
@@ -430,18 +430,27 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     return df.withColumn(out, texts(F.col(ids)))
 
 
-def with_digests(df: DataFrame, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
-    """Put ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in the place of ids and text."""
+def with_digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Put ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` in the place of ``text``.
 
-    @F.arrow_udf("string")
-    def digest(found: pa.Array) -> pa.Array:
-        values, ends = found.values.to_numpy(zero_copy_only=False).astype("<u4"), found.offsets.to_pylist()
-        return pa.array([hashlib.sha256(values[a:b].tobytes()).hexdigest() for a, b in zip(ends, ends[1:])], pa.string())
-
-    rest = [c for c in df.columns if c not in (ids, decoded)]
-    return df.select(
-        *rest,
-        F.size(ids).cast("long").alias("n_tokens"),
-        digest(F.col(ids)).alias("ids_sha256"),
-        F.sha2(F.col(decoded).cast("binary"), 256).alias("decoded_sha256"),
-    )
+    Each text is encoded, and its ids decoded, in one go, so that neither ids nor decoded texts leave the task.  A
+    null text is empty.  The columns must not be there already.
+    """
+    for name in ("n_tokens", "ids_sha256", "decoded_sha256"):
+        if fresh_name(df, name) != name:
+            raise ValueError(f"the table has a column {name} already")
+    coder, found = _coders(df.sparkSession, path), fresh_name(df, "_found")
+
+    @F.arrow_udf("struct<n_tokens: long, ids_sha256: string, decoded_sha256: string>")
+    def digests(texts: pa.Array) -> pa.Array:
+        own = coder()
+        counts, ids, texts_back = [], [], []
+        for data in own.encode_all(t.as_py() or "" for t in texts):
+            counts.append(len(data) // 4)
+            ids.append(hashlib.sha256(data).hexdigest())
+            texts_back.append(hashlib.sha256(own.decode(np.frombuffer(data, "<u4")).encode()).hexdigest())
+        columns = [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(texts_back, pa.string())]
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rest = [F.col(f"`{c}`") for c in df.columns if c != text]
+    return df.withColumn(found, digests(F.col(text))).select(*rest, f"{found}.*")
