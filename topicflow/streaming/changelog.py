@@ -23,7 +23,7 @@ from topicflow.operators import changelog
 from topicflow.sources.topics import stream_topic
 from topicflow.streaming import processors
 from topicflow.streaming.jobs import Folders, Job, folders, start_append, start_batches, start_table
-from topicflow.streaming.store import BUCKETS, COMPACT_EVERY, KeyedTable
+from topicflow.streaming.store import COMPACT_EVERY, KeyedTable
 
 COUNT_STATE = "word string, state bigint"
 BALANCE_STATE = "key string, state struct<timestamp: bigint, earlier_batch: bigint, earlier: bigint, amount: double>"
@@ -41,7 +41,7 @@ class CarriedState:
         schema: str,
         combine: Callable[[Column], Column],
         compact_every: int = COMPACT_EVERY,
-        buckets: int = BUCKETS,
+        buckets: int | None = None,
     ):
         self.path, self.schema, self.combine = at.table(f"state/{name}"), schema, combine
         self.compact_every, self.buckets = compact_every, buckets

@@ -24,8 +24,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from topicflow import files
 
-#: Parts of a table's keys.  Choose it for the size the table will have; it stays as the first batch found it.
-BUCKETS = 16
 #: Changes of a bucket that are read beside its base.
 COMPACT_EVERY = 8
 #: Manifests kept: the last one and the one that a batch run again starts from.
@@ -37,7 +35,8 @@ class KeyedTable:
     """A table of one row per key in the folder ``path``.
 
     ``schema``: the keys and the column ``state``.  ``combine`` makes one state of several, whatever their
-    sequence (``F.sum``, ``F.max``).
+    sequence (``F.sum``, ``F.max``).  ``buckets``: parts of the keys, as many as there are shuffle partitions unless
+    given; as with Spark's own state, the first batch fixes it, so choose it for the size the table will have.
     """
 
     def __init__(
@@ -47,12 +46,13 @@ class KeyedTable:
         schema: T.StructType | str,
         keys: Sequence[str],
         combine: Callable[[Column], Column],
-        buckets: int = BUCKETS,
+        buckets: int | None = None,
         compact_every: int = COMPACT_EVERY,
     ):
         self.spark, self.path, self.keys, self.combine = spark, path, list(keys), combine
         self.schema = spark.createDataFrame([], schema).schema
-        self.buckets, self.compact_every = buckets, compact_every
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.compact_every = compact_every
 
     # --- manifests ----------------------------------------------------------------
 
