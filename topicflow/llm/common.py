@@ -15,14 +15,14 @@ from topicflow.session import work_dir
 T = TypeVar("T")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows of ``df``, stored in the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a re-run, and every later use
     reads what was computed once.
     """
     path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -242,7 +242,8 @@ def _stored(spark: SparkSession, path: str, version: str) -> DataFrame:
     may change meanwhile.  So they are read once, and all that follows works on what that reading found.
     """
     magic = len(f"WARC/{version}\r\n")
-    return written(_pieces(spark, path, version).mapInArrow(lambda batches: _split(batches, magic), STORED), "pieces")
+    pieces = _pieces(spark, path, version).mapInArrow(lambda batches: _split(batches, magic), STORED)
+    return written(pieces, "pieces", compression="zstd")  # it holds all payloads beside the archives
 
 
 def verified(stored: DataFrame, path: str, version: str = VERSION) -> DataFrame:
