@@ -354,6 +354,18 @@ def test_the_model_is_a_distribution(spark):
             assert held[c] + 10 ** model.in_class(np.array([c]), np.array([0]))[0] == pytest.approx(1)
 
 
+
+def test_the_context_is_the_words_before_not_their_class(spark):
+    """xxcat and yycat share a class; only the words tell what follows them."""
+    fillers = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, "xxcat dog") for i in range(8)] + [(10 + i, "yycat fish") for i in range(8)]
+    rows += [(100 + i, fillers + " dog fish dog fish dog fish") for i in range(10)]
+    rows += [(1000, "xxcat dog"), (1001, "yycat dog")]
+    found = {r.doc_id: r for r in lm.score_texts(documents(spark, rows), F.col("doc_id") < 1000).collect()}
+    assert found[1000].base_score == pytest.approx(found[1001].base_score)
+    assert found[1000].score > found[1001].score + 0.1
+
+
 # --- tokens -----------------------------------------------------------------------
 
 

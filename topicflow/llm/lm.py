@@ -4,14 +4,14 @@ A word's probability is that of its class in the context, times that of the word
 class.  The most frequent words are classes of their own; all others fall into classes by
 a hash of their ending, so words that training has not seen have a class too.  The class
 given the context is a softmax over sums of weight rows; a context's features (nothing,
-the class before, the class two before as a skip, both as an n-gram) are hashed to rows.
+the word before, the word two before as a skip, both words as an n-gram) are hashed to rows.
 A word in its class is counted, with absolute discounting: what is taken from the words
 seen goes to the one unseen word of the class, as in the base model.
 
-Training goes over all training texts.  As features depend on classes only, the texts
-are first reduced to counts of (context, class), whose number is bounded by the number of
-classes.  Each step sends the weights out, tasks return the gradient's rows that their
-contexts touch, and the sum moves the weights.
+Training goes over all training texts.  A context is the triple of its features' rows, so the
+texts are first reduced to a table of counts of (context, class), which Spark keeps and which
+grows with the word pairs of the texts.  Each step sends the weights out, tasks return the
+gradient's rows that their contexts touch, and the sum moves the weights.
 
 Only the ``MAX_FREQUENT`` most frequent words travel to the tasks.  Counts of all others
 are joined to the texts' rarer words by a shuffle, once per text and word.
@@ -35,12 +35,11 @@ MAX_FREQUENT = 1 << 16
 SINGLES = 48
 ENDINGS = 32
 CLASSES = SINGLES + ENDINGS
-#: The class before a text's first word.
-START = CLASSES
-CONTEXTS = (CLASSES + 1) ** 2
 ENDING_BYTES = 3
 #: Rows of weights that features are hashed to.
 BUCKETS = 1 << 13
+#: Contexts: rows of the word before, of the word two before and of the two.
+CONTEXTS = BUCKETS**3
 STEPS = 30
 RATE = 0.2
 #: Strength of the pull towards weights of nothing, in tokens: rare contexts stay near the classes' frequencies.
@@ -68,14 +67,31 @@ def _ending_column(word: str) -> Column:
     return F.lit(SINGLES) + F.pmod(F.xxhash64(F.substring(word, -ENDING_BYTES, ENDING_BYTES)), F.lit(ENDINGS)).cast("int")
 
 
-def feature_rows(contexts: np.ndarray) -> np.ndarray:
-    """The rows of each context's four features; a context is class two before * (classes + 1) + class before."""
-    two, one = np.divmod(contexts.astype(np.uint64), np.uint64(CLASSES + 1))
-    keys = np.stack([np.zeros_like(one), one + np.uint64(1 << 20), two + np.uint64(2 << 20), contexts.astype(np.uint64) + np.uint64(3 << 20)])
+#: What stands for the word before a text's first word; words hash with the seed, this is no word's hash but by chance.
+START = np.uint64(0x5EED5EED5EED5EED)
+
+
+def _rows(keys: np.ndarray) -> np.ndarray:
+    keys = keys.astype(np.uint64)
     keys = (keys * np.uint64(0x9E3779B97F4A7C15)) ^ (keys >> np.uint64(7))
     return ((keys * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(24)).astype(np.int64) % BUCKETS
 
 
+BIAS = int(_rows(np.zeros(1, np.uint64))[0])
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w, HASH_SEED) for w in words], np.uint64)
+
+
+def feature_rows(contexts: np.ndarray) -> np.ndarray:
+    """The rows of each context's four features: nothing, the word before, the word two before, both."""
+    contexts = np.asarray(contexts, np.int64)
+    one, rest = np.divmod(contexts, BUCKETS * BUCKETS)
+    two, both = np.divmod(rest, BUCKETS)
+    return np.stack([np.full_like(contexts, BIAS), one, two, both])
+
+
 def log_classes(weights: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     """Natural log probability of each class in each context."""
     z = weights[feature_rows(contexts)].sum(axis=0)
@@ -141,14 +157,28 @@ class _Reader:
         return np.where(codes >= 0, self.model.classes[np.maximum(codes, 0)], -1 - codes)
 
 
-def contexts_of(classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """The context of each token of texts that begin at ``starts`` and have a token at least."""
-    one, two = np.empty_like(classes), np.empty_like(classes)
-    one[1:], two[2:] = classes[:-1], classes[:-2]
+def contexts_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The context of each token of texts that begin at ``starts`` and have a token at least, from the words' hashes."""
+    one, two = np.empty_like(hashes), np.empty_like(hashes)
+    one[1:], two[2:] = hashes[:-1], hashes[:-2]
     one[starts] = two[starts] = START
     second = starts + 1
-    two[second[second < len(classes)]] = START
-    return two * (CLASSES + 1) + one
+    two[second[second < len(hashes)]] = START
+    with np.errstate(over="ignore"):
+        rows = [_rows(one * np.uint64(3) + np.uint64(1)), _rows(two * np.uint64(5) + np.uint64(2)), _rows((two * np.uint64(0x9E3779B97F4A7C15)) ^ one)]
+    return (rows[0] * BUCKETS + rows[1]) * BUCKETS + rows[2]
+
+
+def class_log10(weights: np.ndarray, contexts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """log10 probability of each token's class in its context, a few thousand contexts at a time."""
+    found, place = np.unique(contexts, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    out, step = np.empty(len(contexts)), 1 << 12
+    for at in range(0, len(found), step):
+        low, high = np.searchsorted(place[order], [at, at + step])
+        pick = order[low:high]
+        out[pick] = log_classes(weights, found[at : at + step])[place[pick] - at, classes[pick]] / np.log(10)
+    return out
 
 
 def _blocks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list[list[bytes]]]]:
@@ -205,19 +235,17 @@ def _events(texts: DataFrame, model: Model) -> DataFrame:
     sent = shared(texts.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, counts = _Reader(sent()), np.zeros(CONTEXTS * CLASSES, np.int64)
+        reader = _Reader(sent())
         for batch in batches:
             for _, _, found in _blocks(batch, 0):
                 sizes = np.array([len(t) for t in found])
-                classes = reader.classes(reader.read([w for t in found for w in t]))
-                contexts = contexts_of(classes, np.cumsum(sizes) - sizes)
-                counts += np.bincount(contexts * CLASSES + classes, minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        for at in range(0, len(seen), 1 << 16):
-            part = seen[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array((part // CLASSES).astype(np.int32)), pa.array((part % CLASSES).astype(np.int32)), pa.array(counts[part])], names=["context", "class", "n"])
-
-    rows = texts.select("text").mapInArrow(run, "context int, class int, n long")
+                words = [w for t in found for w in t]
+                classes = reader.classes(reader.read(words))
+                contexts = contexts_of(word_hashes(words), np.cumsum(sizes) - sizes)
+                seen, n = np.unique(contexts * CLASSES + classes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seen // CLASSES), pa.array((seen % CLASSES).astype(np.int32)), pa.array(n.astype(np.int64))], names=["context", "class", "n"])
+
+    rows = texts.select("text").mapInArrow(run, "context long, class int, n long")
     return rows.groupBy("context", "class").agg(F.sum("n").alias("n"))
 
 
@@ -226,19 +254,24 @@ def _gradient(events: DataFrame, weights: np.ndarray) -> np.ndarray:
     sent = events.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[c.to_numpy() for c in b.columns] for b in batches]
-        if not parts:
+        # a context's gradient is linear in its counts, so batches that each hold part of them add up
+        found, hit = np.zeros((BUCKETS, CLASSES)), np.zeros(BUCKETS, bool)
+        for batch in batches:
+            context, cls, n = (c.to_numpy() for c in batch.columns)
+            contexts, place = np.unique(context, return_inverse=True)
+            counts = np.zeros((len(contexts), CLASSES))
+            np.add.at(counts, (place, cls), n)
+            counts -= counts.sum(axis=1, keepdims=True) * np.exp(log_classes(sent.value, contexts))
+            for own in feature_rows(contexts):
+                order = np.argsort(own, kind="stable")
+                ranked = own[order]
+                heads = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+                found[ranked[heads]] += np.add.reduceat(counts[order], heads, axis=0)
+                hit[ranked[heads]] = True
+        touched = np.flatnonzero(hit)
+        if not len(touched):
             return
-        context, cls, n = (np.concatenate(x) for x in zip(*parts))
-        contexts, place = np.unique(context, return_inverse=True)
-        counts = np.zeros((len(contexts), CLASSES))
-        counts[place, cls] = n
-        counts -= counts.sum(axis=1, keepdims=True) * np.exp(log_classes(sent.value, contexts))
-        rows = feature_rows(contexts)
-        touched, where = np.unique(rows, return_inverse=True)
-        found = np.zeros((len(touched), CLASSES))
-        for own in where.reshape(rows.shape):
-            np.add.at(found, own, counts)
+        found = found[touched]
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(touched) + 1) * CLASSES, pa.int32()), pa.array(found.ravel()))
         yield pa.RecordBatch.from_arrays([pa.array(touched), flat], names=["row", "gradient"])
 
@@ -266,7 +299,7 @@ def train(texts: DataFrame, steps: int = STEPS) -> tuple[Model, DataFrame]:
 
     events = written(_events(texts, model).repartition(GRADIENT_TASKS, "context"), "events")
     weights = np.zeros((BUCKETS, CLASSES))
-    bias = feature_rows(np.zeros(1, np.int64))[0, 0]
+    bias = BIAS
     weights[bias] = np.log(np.maximum(model.class_tokens, 0.1) / model.total)
     mean, square = np.zeros_like(weights), np.zeros_like(weights)
     for step in range(1, steps + 1):
@@ -300,8 +333,6 @@ def _score_parts(rows: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent()
         reader = _Reader(model)
-        log_class = np.zeros((CONTEXTS, CLASSES), np.float32)
-        ready = np.zeros(CONTEXTS, bool)
         base = np.append(np.log10(model.counts + 1.0), 0.0)  # the last for words that are not frequent
         inside = np.append(model.in_class(model.classes, model.counts), 0.0)
         log_all = np.log10(model.total + model.distinct + 1.0)
@@ -313,17 +344,11 @@ def _score_parts(rows: DataFrame, model: Model) -> DataFrame:
                 words = [w for t in texts for w in t]
                 codes = reader.read(words)
                 classes = reader.classes(codes)
-                contexts = contexts_of(classes, starts)
-                new = np.unique(contexts)
-                new = new[~ready[new]]
-                for at in range(0, len(new), 1 << 12):
-                    part = new[at : at + (1 << 12)]
-                    log_class[part] = log_classes(model.weights, part) / np.log(10)
-                ready[new] = True
+                contexts = contexts_of(word_hashes(words), starts)
                 known = np.maximum(codes, -1)
                 sums = [
                     np.add.reduceat(v, starts)
-                    for v in ((codes >= 0).astype(np.int64), base[known], log_class[contexts, classes].astype(np.float64) + inside[known])
+                    for v in ((codes >= 0).astype(np.int64), base[known], class_log10(model.weights, contexts, classes) + inside[known])
                 ]
                 own = rids[first:end]
                 rare = np.flatnonzero(codes < 0)
