@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,6 +74,26 @@ class RunningBalance(StatefulProcessor):
         pass
 
 
+class RunningBalanceRows(StatefulProcessor):
+    """The same on rows: a key has a few events a batch, and frames of its own cost more than they carry."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.newest = handle.getValueState("newest", "amount double, timestamp bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        amount, time = self.newest.get() or (0.0, 0)
+        before = time
+        for row in sorted(rows, key=lambda r: r.seq):
+            if row.timestamp > time:
+                amount, time = row.amount, row.timestamp
+            yield Row(key=row.key, seq=row.seq, id=row.id, amount=amount, timestamp=time)
+        if time > before:
+            self.newest.update((float(amount), int(time)))
+
+    def close(self) -> None:
+        pass
+
+
 class ValueChanges(StatefulProcessor):
     """What each update takes from one value and gives to another; no value takes the key out."""
 
@@ -122,7 +142,7 @@ def running_balance(events: DataFrame) -> DataFrame:
         F.coalesce("amount", F.lit(0.0)).alias("amount"),
         F.coalesce("timestamp", F.lit(0).cast("bigint")).alias("timestamp"),  # a time that is not positive never wins
     )
-    return _run(rows, "key", RunningBalance(), rows.schema)
+    return rows.groupBy("key").transformWithState(RunningBalanceRows(), rows.schema, "Append", "None")
 
 
 def value_changes(updates: DataFrame, tombstones: bool = False) -> DataFrame:
