@@ -366,6 +366,26 @@ def test_the_context_is_the_words_before_not_their_class(spark):
     assert found[1000].score > found[1001].score + 0.1
 
 
+
+def test_a_step_reads_each_context_once_packed_and_takes_the_whole_gradient(spark):
+    texts = spark.createDataFrame([(f"a b{i % 7} c{i % 5} a d{i % 3} e",) for i in range(300)], "t string").select(F.col("t").cast("binary").alias("text"))
+    model, _ = lm.train(texts, steps=1)
+    events = lm._events(texts, model)
+    rows = events.collect()
+    weights = np.random.default_rng(3).normal(0, 0.5, (lm.BUCKETS, lm.CLASSES))
+    contexts = np.array(sorted({r.context for r in rows}))
+    counts = np.zeros((len(contexts), lm.CLASSES))
+    for r in rows:
+        counts[np.searchsorted(contexts, r.context), r["class"]] += r.n
+    counts -= counts.sum(axis=1, keepdims=True) * np.exp(lm.log_classes(weights, contexts))
+    expected = np.zeros_like(weights)
+    for own in lm.feature_rows(contexts):
+        np.add.at(expected, own, counts)
+    packed = lm._packed(events)
+    assert sum(len(r.tokens) // 8 for r in packed.collect()) == len(contexts)
+    assert np.allclose(lm._observed(events) - lm._expected(packed, weights), expected, atol=1e-4)
+
+
 # --- tokens -----------------------------------------------------------------------
 
 

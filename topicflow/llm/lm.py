@@ -10,8 +10,10 @@ seen goes to the one unseen word of the class, as in the base model.
 
 Training goes over all training texts.  A context is the triple of its features' rows, so the
 texts are first reduced to a table of counts of (context, class), which Spark keeps and which
-grows with the word pairs of the texts.  Each step sends the weights out, tasks return the
-gradient's rows that their contexts touch, and the sum moves the weights.
+grows with the word pairs of the texts.  What the counts give to the gradient is summed once;
+each context is then kept once with its tokens, packed in blocks.  Each step sends the weights
+out, tasks return the rows of what the model expects that their contexts touch, and the
+difference moves the weights.
 
 Only the ``MAX_FREQUENT`` most frequent words travel to the tasks.  Counts of all others
 are joined to the texts' rarer words by a shuffle, once per text and word.
@@ -249,36 +251,76 @@ def _events(texts: DataFrame, model: Model) -> DataFrame:
     return rows.groupBy("context", "class").agg(F.sum("n").alias("n"))
 
 
-def _gradient(events: DataFrame, weights: np.ndarray) -> np.ndarray:
-    """The gradient of the log likelihood, a bounded table: tasks return the rows they touch."""
-    sent = events.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
+def _summed(rows: DataFrame) -> np.ndarray:
+    """The sum of the (row, gradient) rows that tasks return, a table of weights' shape."""
+    total = np.zeros((BUCKETS, CLASSES))
+    for batch in rows.toArrow().to_batches():
+        values = batch.column(1).flatten().to_numpy().reshape(-1, CLASSES)
+        np.add.at(total, batch.column(0).to_numpy(), values)
+    return total
+
+
+def _touched(found: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rows of a task's sums that are not all zero: what a task returns has a bound."""
+    found = found.reshape(BUCKETS, CLASSES)
+    touched = np.flatnonzero(found.any(axis=1))
+    if not len(touched):
+        return
+    flat = pa.ListArray.from_arrays(pa.array(np.arange(len(touched) + 1) * CLASSES, pa.int32()), pa.array(found[touched].ravel()))
+    yield pa.RecordBatch.from_arrays([pa.array(touched), flat], names=["row", "gradient"])
+
+
+def _observed(events: DataFrame) -> np.ndarray:
+    """The counted part of the gradient, which no step changes: the tokens of each class that each row's contexts hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a context's gradient is linear in its counts, so batches that each hold part of them add up
-        found, hit = np.zeros((BUCKETS, CLASSES)), np.zeros(BUCKETS, bool)
+        found = np.zeros(BUCKETS * CLASSES)
         for batch in batches:
             context, cls, n = (c.to_numpy() for c in batch.columns)
-            contexts, place = np.unique(context, return_inverse=True)
-            counts = np.zeros((len(contexts), CLASSES))
-            np.add.at(counts, (place, cls), n)
-            counts -= counts.sum(axis=1, keepdims=True) * np.exp(log_classes(sent.value, contexts))
-            for own in feature_rows(contexts):
-                order = np.argsort(own, kind="stable")
-                ranked = own[order]
-                heads = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-                found[ranked[heads]] += np.add.reduceat(counts[order], heads, axis=0)
-                hit[ranked[heads]] = True
-        touched = np.flatnonzero(hit)
-        if not len(touched):
-            return
-        found = found[touched]
-        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(touched) + 1) * CLASSES, pa.int32()), pa.array(found.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(touched), flat], names=["row", "gradient"])
-
-    total = np.zeros_like(weights, dtype=np.float64)
-    for batch in events.mapInArrow(run, "row long, gradient array<double>").toArrow().to_batches():
-        values = batch.column(1).flatten().to_numpy().reshape(-1, CLASSES)
-        np.add.at(total, batch.column(0).to_numpy(), values)
+            flat = (feature_rows(context) * CLASSES + cls).ravel()
+            found += np.bincount(flat, weights=np.tile(n.astype(np.float64), 4), minlength=BUCKETS * CLASSES)
+        yield from _touched(found)
+
+    return _summed(events.mapInArrow(run, "row long, gradient array<double>"))
+
+
+def _packed(events: DataFrame) -> DataFrame:
+    """Each context once with its tokens, a row for each batch of them: the rows of its features but nothing
+    (16 bits each, as ``BUCKETS`` is below 2**15) and its tokens as doubles, so that steps read few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, n = (c.to_numpy() for c in batch.columns)
+            rows = feature_rows(context)[1:].astype(np.int16)
+            yield pa.RecordBatch.from_arrays([pa.array([rows.tobytes()], pa.binary()), pa.array([n.astype(np.float64).tobytes()], pa.binary())], names=["rows", "tokens"])
+
+    return events.groupBy("context").agg(F.sum("n").alias("n")).mapInArrow(run, "rows binary, tokens binary")
+
+
+def _expected(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
+    """The part of the gradient that the model expects: each context's tokens times its classes' probabilities.
+
+    The exp of a sum of rows is the product of the rows' exps, so no task takes an exp; a row's
+    largest weight, taken from all of it, cancels in each context's sum.
+    """
+    scaled = np.exp(weights - weights.max(axis=1, keepdims=True))
+    sent = packed.sparkSession.sparkContext.broadcast(scaled)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # a context's gradient is linear in its tokens, so tasks and blocks that each hold part of them add up
+        e, found, classes = sent.value, np.zeros(BUCKETS * CLASSES), np.arange(CLASSES)
+        for batch in batches:
+            for rows, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                rows, n = np.frombuffer(rows, np.int16).reshape(3, -1), np.frombuffer(n, np.float64)
+                q = e[rows[0]] * e[rows[1]]
+                q *= e[rows[2]] * e[BIAS]
+                q *= (n / q.sum(axis=1))[:, None]
+                found[BIAS * CLASSES : (BIAS + 1) * CLASSES] += q.sum(axis=0)
+                flat = (rows.astype(np.int64).ravel() * CLASSES)[:, None] + classes
+                found += np.bincount(flat.ravel(), weights=np.tile(q.ravel(), 3), minlength=BUCKETS * CLASSES)
+        yield from _touched(found)
+
+    total = _summed(packed.mapInArrow(run, "row long, gradient array<double>"))
     sent.destroy()  # each step has weights of its own, and what is sent lies on disks
     return total
 
@@ -298,6 +340,7 @@ def train(texts: DataFrame, steps: int = STEPS) -> tuple[Model, DataFrame]:
     )
 
     events = written(_events(texts, model).repartition(GRADIENT_TASKS, "context"), "events")
+    observed, packed = _observed(events), written(_packed(events), "contexts")
     weights = np.zeros((BUCKETS, CLASSES))
     bias = BIAS
     weights[bias] = np.log(np.maximum(model.class_tokens, 0.1) / model.total)
@@ -305,7 +348,7 @@ def train(texts: DataFrame, steps: int = STEPS) -> tuple[Model, DataFrame]:
     for step in range(1, steps + 1):
         pull = RIDGE * weights
         pull[bias] = 0
-        gradient = (_gradient(events, weights) - pull) / model.total
+        gradient = (observed - _expected(packed, weights) - pull) / model.total
         mean, square = 0.9 * mean + 0.1 * gradient, 0.99 * square + 0.01 * gradient**2
         rate = RATE * (1 - 0.9 * (step - 1) / steps)
         weights += rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-10)
