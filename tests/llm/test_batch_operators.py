@@ -386,6 +386,22 @@ def test_a_step_reads_each_context_once_packed_and_takes_the_whole_gradient(spar
     assert np.allclose(lm._observed(events) - lm._expected(packed, weights), expected, atol=1e-4)
 
 
+def test_the_events_table_is_dealt_by_the_shuffle_not_into_a_fixed_few_tasks(spark):
+    """Eight tasks, whatever the input, each took an eighth of all (context, class) rows: that grows with the texts."""
+    texts = spark.createDataFrame([(f"w{i} x{i % 13} y{i % 7} z{i}",) for i in range(2000)], "t string").select(F.col("t").cast("binary").alias("text"))
+    model, _ = lm.train(texts, steps=1)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        events = lm._event_table(texts, model)
+        assert events.inputFiles() and len(events.inputFiles()) > 8
+        assert events.count() == lm._events(texts, model).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # --- tokens -----------------------------------------------------------------------
 
 

@@ -46,8 +46,6 @@ STEPS = 30
 RATE = 0.2
 #: Strength of the pull towards weights of nothing, in tokens: rare contexts stay near the classes' frequencies.
 RIDGE = 3.0
-#: Tasks that a training step runs; what they read is bounded, see above.
-GRADIENT_TASKS = 8
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 1 << 18
 #: Tokens that a task handles at a time.
@@ -251,6 +249,12 @@ def _events(texts: DataFrame, model: Model) -> DataFrame:
     return rows.groupBy("context", "class").agg(F.sum("n").alias("n"))
 
 
+def _event_table(texts: DataFrame, model: Model) -> DataFrame:
+    """The counts of (context, class), stored as the shuffle of their sums deals them: a task's share stays
+    bounded as the texts grow, where a fixed number of tasks would each take a growing share."""
+    return written(_events(texts, model), "events")
+
+
 def _summed(rows: DataFrame) -> np.ndarray:
     """The sum of the (row, gradient) rows that tasks return, a table of weights' shape."""
     total = np.zeros((BUCKETS, CLASSES))
@@ -339,7 +343,7 @@ def train(texts: DataFrame, steps: int = STEPS) -> tuple[Model, DataFrame]:
         classed.groupBy("class").agg(F.sum("n"), F.count(F.lit(1)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).collect()
     )
 
-    events = written(_events(texts, model).repartition(GRADIENT_TASKS, "context"), "events")
+    events = _event_table(texts, model)
     observed, packed = _observed(events), written(_packed(events), "contexts")
     weights = np.zeros((BUCKETS, CLASSES))
     bias = BIAS
