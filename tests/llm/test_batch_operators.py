@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -402,6 +403,84 @@ def test_the_events_table_is_dealt_by_the_shuffle_not_into_a_fixed_few_tasks(spa
             spark.conf.set(k, v)
 
 
+def test_words_and_their_hashes_are_those_of_the_texts():
+    dice = random.Random(8)
+    texts = [bytes(dice.choice(b" \t\n\x0b\x0c\r\x00\x1c\x85aAzZ\xc3\xa9!") for _ in range(dice.randint(0, 70))) for _ in range(500)]
+    texts += [b"", b" ", b"long " * 3000, b"y" * 33 + b" " + b"Q" * 100, *(b"z" * n for n in range(45)), b""]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], names=["text"]).slice(2)
+    found, hashes = [], []
+    for first, end, words in lm._blocks(batch, 0, 4000):
+        own = words.bytes_of(np.arange(len(words.hashes)))
+        hashes += words.hashes.tolist()
+        ends = np.cumsum(words.sizes).tolist()
+        assert len(ends) == end - first
+        found += [own[a:b] for a, b in zip([0, *ends], ends)]
+    assert found == [lm.tokens(t) for t in texts[2:]]
+    assert hashes == [xxhash.xxh64_intdigest(w, lm.HASH_SEED) for own in found for w in own]
+
+    counts = collections.Counter(w for own in found for w in own)
+    model = lm.Model(counts.most_common(60), sum(counts.values()), len(counts))
+    reader = lm._Reader(model)
+    for _, _, words in lm._blocks(batch, 0):
+        numbers, classes = reader.read(words)
+        for w, number, c in zip(words.bytes_of(np.arange(len(numbers))), numbers.tolist(), classes.tolist()):
+            assert number == model.index.get(w, -1)
+            assert c == (number if 0 <= number < lm.SINGLES else lm.ending_class(w))
+
+
+def test_contexts_are_counted_in_packed_buckets_as_in_rows(spark, monkeypatch):
+    texts = spark.createDataFrame([(f"a b{i % 97} c{i % 5} a d{i % 3} e{i * i % 131}",) for i in range(900)], "t string").select(F.col("t").cast("binary").alias("text")).repartition(3)
+    model, _ = lm.train(texts, steps=1)
+    rows = lm._events(texts, model).groupBy("context").agg(F.sum("n").alias("n")).collect()
+    expected = {r.context: r.n for r in rows}
+
+    def counted():
+        held, times = collections.Counter(), 0
+        for r in lm._counted(texts, model).collect():
+            for (one, two, both), n in zip(np.frombuffer(r.rows, np.int16).reshape(-1, 3).tolist(), np.frombuffer(r.tokens)):
+                held[(one * lm.BUCKETS + two) * lm.BUCKETS + both] += n
+                times += 1
+        return held, times
+
+    assert counted() == (expected, len(expected))
+    assert np.allclose(lm._observed_of(lm._counted(texts, model)), lm._observed(lm._events(texts, model)))
+    monkeypatch.setattr(lm, "STEP_CONTEXTS", 500)  # more pieces, and buckets that are merged in parts
+    monkeypatch.setattr(lm, "MERGED_CONTEXTS", 1)
+    assert counted()[0] == expected
+
+
+def test_a_step_sends_the_driver_as_many_tables_as_there_are_cores(spark):
+    """A table of the weights' shape from each split of the contexts was more than the driver takes as the texts grow."""
+    texts = spark.createDataFrame([(f"a b{i % 7} c{i % 5} a d{i % 3} e",) for i in range(300)], "t string").select(F.col("t").cast("binary").alias("text"))
+    model, _ = lm.train(texts, steps=1)
+    packed = lm._packed(lm._events(texts, model)).repartition(40).persist()
+    weights = np.random.default_rng(4).normal(0, 0.5, (lm.BUCKETS, lm.CLASSES))
+    whole = lm._expected(packed, weights)
+    assert whole.sum() == pytest.approx(4 * 300 * 7, rel=1e-6)
+    context = spark.sparkContext
+    context.setJobGroup("step", "a step")
+    try:
+        lm._expected(packed, weights)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        packed.unpersist()
+    stages = [s for j in context.statusTracker().getJobIdsForGroup("step") for s in context.statusTracker().getJobInfo(j).stageIds]
+    last = context.statusTracker().getStageInfo(max(stages))
+    assert last.numTasks <= context.defaultParallelism
+
+
+def test_single_precision_gives_the_scores_of_double(spark, monkeypatch):
+    """A step divides a gradient by its size: where it should be zero, rounding alone moved the weights."""
+    dice = random.Random(5)
+    rows = [(i, " ".join(f"w{int(dice.expovariate(0.05))}" for _ in range(60))) for i in range(200)]
+    found = []
+    for spread in (lm.SINGLE_SPREAD, 0):
+        monkeypatch.setattr(lm, "SINGLE_SPREAD", spread)
+        found.append({r.doc_id: r.score for r in lm.score_texts(documents(spark, rows), F.col("doc_id") % 5 != 0, steps=8).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert max(abs(found[0][i] - found[1][i]) for i in found[0]) < 1e-2
+
+
 # --- tokens -----------------------------------------------------------------------
 
 
