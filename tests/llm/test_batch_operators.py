@@ -437,14 +437,14 @@ def test_contexts_are_counted_in_packed_buckets_as_in_rows(spark, monkeypatch):
     def counted():
         held, times = collections.Counter(), 0
         for r in lm._counted(texts, model).collect():
-            for (one, two, both), n in zip(np.frombuffer(r.rows, np.int16).reshape(-1, 3).tolist(), np.frombuffer(r.tokens)):
+            for (one, two, both), n in zip(np.frombuffer(r.rows, np.int16).reshape(-1, 3).tolist(), np.frombuffer(r.tokens, np.float32).tolist()):
                 held[(one * lm.BUCKETS + two) * lm.BUCKETS + both] += n
                 times += 1
         return held, times
 
     assert counted() == (expected, len(expected))
     assert np.allclose(lm._observed_of(lm._counted(texts, model)), lm._observed(lm._events(texts, model)))
-    monkeypatch.setattr(lm, "STEP_CONTEXTS", 500)  # more pieces, and buckets that are merged in parts
+    monkeypatch.setattr(lm, "PIECE_TOKENS", 500)  # more pieces, and buckets that are merged in parts
     monkeypatch.setattr(lm, "MERGED_CONTEXTS", 1)
     assert counted()[0] == expected
 

@@ -47,20 +47,21 @@ RATE = 0.2
 #: Strength of the pull towards weights of nothing, in tokens: rare contexts stay near the classes' frequencies.
 RIDGE = 3.0
 #: Contexts that a task of a step sorts at a time, and those of which it holds the classes' products: these stay in a core's cache.
-STEP_CONTEXTS = 1 << 20
-HELD_CONTEXTS = 1 << 10
-#: Rows of weights in a bucket of contexts, and contexts of a bucket that a task merges at a time.
+STEP_CONTEXTS = 1 << 21
+HELD_CONTEXTS = 2048
+#: Tokens whose contexts a task counts at a time, rows of weights in a bucket of contexts, and contexts of a bucket that a task merges at a time.
+PIECE_TOKENS = 1 << 20
 BUCKET_ROWS = 8
 MERGED_CONTEXTS = 1 << 22
 #: Contexts in a packed row: 10,000 rows, which Spark hands to Python at once, stay small.
-PACKED_CONTEXTS = 1 << 7
+PACKED_CONTEXTS = 1 << 8
 #: Tasks of a step, at most: each returns a table of the weights' shape to the driver.
 STEP_TASKS = 64
 #: Weights' distances from their rows' largest, summed over a context's rows, that are far from where single precision ends.
 SINGLE_SPREAD = 60
 #: Bytes of texts that a task handles at a time, or one text; and whose words it counts at a time.
 BLOCK_BYTES = 1 << 20
-COUNTED_BYTES = 1 << 22
+COUNTED_BYTES = 1 << 23
 HASH_SEED = 42
 #: The token after a text's last word: no word is empty.
 END = b""
@@ -185,11 +186,11 @@ def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Reader:
-    """Gives words' classes and the frequent words' numbers from the words' hashes of 64 bits."""
+    """Gives words' classes and the numbers of the frequent words, or of the ``known`` most frequent, from the words' hashes of 64 bits."""
 
-    def __init__(self, model: Model):
-        self.hashes, self.classes = model.hashes, model.classes
-        self.mask = (1 << max(8, 4 * len(self.hashes)).bit_length()) - 1
+    def __init__(self, model: Model, known: int | None = None):
+        self.hashes = model.hashes[:known]
+        self.mask = (1 << max(8, 2 * len(self.hashes)).bit_length()) - 1
         self.table = np.full(self.mask + 1, -1, np.int32)
         left, slots = np.arange(len(self.hashes)), self._slots(self.hashes)
         while len(left):  # each takes the first free place from its own on
@@ -316,7 +317,10 @@ class _ClassScores:
                 np.take(self.exps, row[low:high], axis=0, out=other, mode="clip")
                 q *= other
             sums[low:high] = q @ self.ones
-        return (self.weights[rows, classes].sum(axis=0) + self.weights[BIAS, classes] - np.log(sums)) / np.log(10)
+        own = self.weights[BIAS].take(classes)
+        for row in rows:
+            own += self.weights.take(row * CLASSES + classes)
+        return (own - np.log(sums)) / np.log(10)
 
 
 def _blocks(batch: pa.RecordBatch, column: int, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, _Words]]:
@@ -364,7 +368,7 @@ def _frequent(counts: DataFrame) -> list[tuple[bytes, int]]:
 
 def _read_events(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The rows of each token's context and its class, a block of texts at a time."""
-    reader = _Reader(model)
+    reader = _Reader(model, SINGLES)
     for batch in batches:
         for _, _, words in _blocks(batch, 0):
             yield context_rows(words.hashes, np.cumsum(words.sizes) - words.sizes), reader.read(words)[1]
@@ -437,9 +441,9 @@ def _joined(column: pa.Array, kind: type) -> np.ndarray:
 
 
 def _packed_arrays(rows: np.ndarray, n: np.ndarray) -> list[pa.Array]:
-    """Contexts' rows (16 bits each, as ``BUCKETS`` is below 2**15), context by context, and their tokens as doubles."""
+    """Contexts' rows (16 bits each, as ``BUCKETS`` is below 2**15), context by context, and their tokens."""
     cuts = np.append(np.arange(0, max(1, n.size), PACKED_CONTEXTS), n.size)
-    return [_cut(np.ascontiguousarray(rows.T.astype(np.int16)), cuts), _cut(n.astype(np.float64), cuts)]
+    return [_cut(np.ascontiguousarray(rows.T.astype(np.int16)), cuts), _cut(n, cuts)]
 
 
 def _packed(events: DataFrame) -> DataFrame:
@@ -449,7 +453,7 @@ def _packed(events: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             context, n = (c.to_numpy() for c in batch.columns)
-            yield pa.RecordBatch.from_arrays(_packed_arrays(feature_rows(context)[1:], n), names=["rows", "tokens"])
+            yield pa.RecordBatch.from_arrays(_packed_arrays(feature_rows(context)[1:], n.astype(np.float64)), names=["rows", "tokens"])
 
     return events.groupBy("context").agg(F.sum("n").alias("n")).mapInArrow(run, "rows binary, tokens binary")
 
@@ -472,14 +476,14 @@ _PACKED = "bucket int, rows binary, tokens binary, observed binary"
 
 
 def _merged(bucket: int, contexts: list[bytes], n: list[bytes], observed: np.ndarray | None) -> pa.RecordBatch:
-    """A bucket's contexts, each once with its tokens, as ``_packed`` has them."""
+    """A bucket's contexts, each once with its tokens, as ``_packed`` has them but for single precision, which steps take them in."""
     keys, n = np.frombuffer(b"".join(contexts), np.int64), np.frombuffer(b"".join(n), np.int32)
     order = np.argsort(keys, kind="stable")  # the pieces are in order: runs are merged
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     tokens_ = np.add.reduceat(n[order].astype(np.float64), first) if len(keys) else np.zeros(0)
     both, words = np.divmod(keys[first], BUCKETS * BUCKETS)
-    rows, tokens_ = _packed_arrays(np.stack([*np.divmod(words, BUCKETS), both]), tokens_)
+    rows, tokens_ = _packed_arrays(np.stack([*np.divmod(words, BUCKETS), both]), tokens_.astype(np.float32))
     observed = [None if observed is None else observed.tobytes()] + [None] * (len(rows) - 1)
     return pa.RecordBatch.from_arrays([pa.array([bucket] * len(rows), pa.int32()), rows, tokens_, pa.array(observed, pa.binary())], names=["bucket", "rows", "tokens", "observed"])
 
@@ -503,7 +507,7 @@ def _counted(texts: DataFrame, model: Model) -> DataFrame:
             one, two, both = rows
             held.append((both * BUCKETS + one) * BUCKETS + two)
             n += len(classes)
-            if n >= STEP_CONTEXTS:
+            if n >= PIECE_TOKENS:
                 yield _pieces(held)
                 held, n = [], 0
         if n:
@@ -560,18 +564,19 @@ class _Expectation:
     def add(self, contexts: Sequence[np.ndarray], tokens: Sequence[np.ndarray]) -> None:
         """Pieces of contexts, one after the other as the rows of the word before, of the word two before and of the two."""
         rows = [np.concatenate([c[r::3] for c in contexts]) for r in range(3)]
-        tokens, shares = np.concatenate(tokens), None
+        tokens, shares = np.concatenate([t.astype(self.exps.dtype) for t in tokens]), None
         for own, x, y in ((2, 0, 1), (0, 1, 2), (1, 0, 2)):
             key, order = rows[own], slice(None)
             if (key[1:] < key[:-1]).any():
                 order = np.argsort(key, kind="stable")  # 16 bits each: a radix sort
                 key = key[order]
-            x, y = (rows[r][order].astype(np.intp) for r in (x, y))
+            x, y = rows[x][order], rows[y][order]
             if shares is None:
                 shares = np.empty(len(key), self.exps.dtype)
-                held = tokens[order].astype(self.exps.dtype)
+                held = tokens[order]
                 self._sums(key, x, y, held, shares)
                 shares[order] = held
+                del held, tokens
             else:
                 self._sums(key, x, y, shares[order])
 
@@ -587,17 +592,17 @@ class _Expectation:
         for block, low in enumerate(blocks[:-1].tolist()):
             high = min(low + HELD_CONTEXTS, len(key))
             q, other = (h[: high - low] for h in self.held)
-            np.take(self.exps, x[low:high], axis=0, out=q, mode="clip")  # other modes copy what they give
-            np.take(self.exps, y[low:high], axis=0, out=other, mode="clip")
+            self.exps.take(x[low:high].astype(np.intp), axis=0, out=q, mode="clip")  # other modes copy what they give
+            self.exps.take(y[low:high].astype(np.intp), axis=0, out=other, mode="clip")
             q *= other
-            own, runs = shares[low:high], range(of_block[block], of_block[block + 1])
+            own, runs = shares[low:high], slice(of_block[block], of_block[block + 1])
             if sums is not None:
                 total = sums[low:high]
-                for i in runs:
-                    np.dot(q[lows[i] : highs[i]], self.biased[keys[i]], out=total[lows[i] : highs[i]])
+                for a, b, row in zip(lows[runs], highs[runs], keys[runs]):
+                    q[a:b].dot(self.biased[row], out=total[a:b])
                 own /= total
-            for i in runs:
-                np.dot(own[lows[i] : highs[i]], q[lows[i] : highs[i]], out=parts[i])
+            for a, b, part in zip(lows[runs], highs[runs], parts[runs]):
+                own[a:b].dot(q[a:b], out=part)
         self.found[key[starts]] += np.add.reduceat(parts, np.searchsorted(cuts, starts), axis=0, dtype=np.float64)
 
 
@@ -612,7 +617,8 @@ def _expected(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
         # a context's gradient is linear in its tokens, so tasks and blocks that each hold part of them add up
         expectation, held, n = _Expectation(sent.value), [], 0
         for batch in batches:
-            held.append([_joined(column, own) for column, own in zip(batch.columns, (np.int16, np.float64))])
+            rows, counts = _joined(batch.column(0), np.int16), _joined(batch.column(1), np.uint8)
+            held.append((rows, counts.view(np.float64 if counts.size * 3 == rows.size * 8 else np.float32)))
             n += len(held[-1][1])
             if n >= STEP_CONTEXTS:
                 expectation.add(*zip(*held))
