@@ -22,7 +22,7 @@ are joined to the texts' rarer words by a shuffle, once per text and word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,21 +47,21 @@ RATE = 0.2
 #: Strength of the pull towards weights of nothing, in tokens: rare contexts stay near the classes' frequencies.
 RIDGE = 3.0
 #: Contexts that a task of a step sorts at a time, and those of which it holds the classes' products: these stay in a core's cache.
-STEP_CONTEXTS = 1 << 21
-HELD_CONTEXTS = 2048
+STEP_CONTEXTS = 1 << 20
+HELD_CONTEXTS = 1 << 10
 #: Tokens whose contexts a task counts at a time, rows of weights in a bucket of contexts, and contexts of a bucket that a task merges at a time.
 PIECE_TOKENS = 1 << 20
 BUCKET_ROWS = 8
 MERGED_CONTEXTS = 1 << 22
 #: Contexts in a packed row: 10,000 rows, which Spark hands to Python at once, stay small.
-PACKED_CONTEXTS = 1 << 8
+PACKED_CONTEXTS = 1 << 7
 #: Tasks of a step, at most: each returns a table of the weights' shape to the driver.
 STEP_TASKS = 64
 #: Weights' distances from their rows' largest, summed over a context's rows, that are far from where single precision ends.
 SINGLE_SPREAD = 60
 #: Bytes of texts that a task handles at a time, or one text; and whose words it counts at a time.
 BLOCK_BYTES = 1 << 20
-COUNTED_BYTES = 1 << 23
+COUNTED_BYTES = 1 << 22
 HASH_SEED = 42
 #: The token after a text's last word: no word is empty.
 END = b""
@@ -216,12 +216,12 @@ class _Reader:
     def read(self, words: "_Words") -> tuple[np.ndarray, np.ndarray]:
         """The number and the class of each token."""
         numbers = self.numbers(words.hashes)
-        ending = np.minimum(words.word_sizes, ENDING_BYTES)
-        classes = np.full(len(numbers), ending_class(END), np.int64)
-        hashes = word_hashes(words.data, words.starts + words.word_sizes - ending, ending)
-        classes[words.places] = SINGLES + (hashes % np.uint64(ENDINGS)).astype(np.int64)
         single = (numbers >= 0) & (numbers < SINGLES)
-        classes[single] = numbers[single]
+        classes = np.where(single, numbers, ending_class(END))
+        other = np.flatnonzero(~single[words.places])
+        ending = np.minimum(words.word_sizes[other], ENDING_BYTES)
+        hashes = word_hashes(words.data, words.starts[other] + words.word_sizes[other] - ending, ending)
+        classes[words.places[other]] = SINGLES + (hashes % np.uint64(ENDINGS)).astype(np.int64)
         return numbers, classes
 
 
@@ -230,12 +230,12 @@ class _Words:
 
     def __init__(self, data: np.ndarray, begins: np.ndarray):
         """Text i is data[begins[i] : begins[i + 1]]."""
-        inside, before = _INSIDE[data], np.zeros(len(data) + 1, bool)
+        inside, before = (data != 0x20) & (data - np.uint8(0x09) > 4), np.zeros(len(data) + 1, bool)  # white space is 0x20 and 0x09-0x0D
         before[1:] = inside
         fresh = np.zeros(len(data) + 1, bool)
         fresh[begins] = True
         now = np.append(inside, False)
-        self.data = _LOWER[data]
+        self.data = np.frombuffer(data.tobytes().lower(), np.uint8)
         self.starts = np.flatnonzero(now & (~before | fresh))
         self.word_sizes = np.flatnonzero(before & (~now | fresh)) - self.starts
         of_text = np.searchsorted(self.starts, begins)
@@ -254,10 +254,6 @@ class _Words:
         return [data[a : a + n] if w >= 0 else END for w, a, n in zip(word.tolist(), starts.tolist(), sizes.tolist())] if len(self.starts) else [END] * len(word)
 
 
-_INSIDE = np.array([c != 0x20 and not 0x09 <= c <= 0x0D for c in range(256)])
-_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
-
-
 def context_rows(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """The rows of each token's features but nothing, from the words' hashes; texts begin at ``starts`` and have a token at least."""
     one, two = np.empty_like(hashes), np.empty_like(hashes)
@@ -561,10 +557,11 @@ class _Expectation:
         self.found = np.zeros((BUCKETS, CLASSES))
         self.held = [_room(HELD_CONTEXTS, exps.dtype) for _ in range(2)]
 
-    def add(self, contexts: Sequence[np.ndarray], tokens: Sequence[np.ndarray]) -> None:
-        """Pieces of contexts, one after the other as the rows of the word before, of the word two before and of the two."""
-        rows = [np.concatenate([c[r::3] for c in contexts]) for r in range(3)]
-        tokens, shares = np.concatenate([t.astype(self.exps.dtype) for t in tokens]), None
+    def add(self, pieces: list[list[np.ndarray]]) -> None:
+        """Pieces of contexts, as the rows of the word before, of the word two before and of the two, and the tokens; empties the list."""
+        *rows, tokens = (x[0] if len(x) == 1 else np.concatenate(x) for x in zip(*pieces))
+        pieces.clear()
+        shares = None
         for own, x, y in ((2, 0, 1), (0, 1, 2), (1, 0, 2)):
             key, order = rows[own], slice(None)
             if (key[1:] < key[:-1]).any():
@@ -618,13 +615,15 @@ def _expected(packed: DataFrame, weights: np.ndarray) -> np.ndarray:
         expectation, held, n = _Expectation(sent.value), [], 0
         for batch in batches:
             rows, counts = _joined(batch.column(0), np.int16), _joined(batch.column(1), np.uint8)
-            held.append((rows, counts.view(np.float64 if counts.size * 3 == rows.size * 8 else np.float32)))
-            n += len(held[-1][1])
+            counts = counts.view(np.float64 if counts.size * 3 == rows.size * 8 else np.float32)
+            held.append([*(rows[r::3].copy() for r in range(3)), counts.astype(kind)])  # a batch is let go before it is worked on
+            n += counts.size
+            del batch, rows, counts
             if n >= STEP_CONTEXTS:
-                expectation.add(*zip(*held))
-                held, n = [], 0
+                expectation.add(held)
+                n = 0
         if n:
-            expectation.add(*zip(*held))
+            expectation.add(held)
         yield from _touched(expectation.found.astype(kind))
 
     tasks = min(STEP_TASKS, context.defaultParallelism)
@@ -671,7 +670,7 @@ def train(texts: DataFrame, steps: int = STEPS) -> tuple[Model, DataFrame]:
 
 # --- scoring ----------------------------------------------------------------------
 
-_PARTS = "rid long, word binary, class int, tf long, n_tokens long, known long, base double, score double, train boolean"
+_PARTS = "rid long, word binary, class int, tf long, own struct<n_tokens: long, known: long, base: double, score: double, train: boolean, doc_id: {}>"
 
 
 def _score_parts(rows: DataFrame, model: Model) -> DataFrame:
@@ -680,10 +679,9 @@ def _score_parts(rows: DataFrame, model: Model) -> DataFrame:
     The id and ``train`` travel with the text's own row: numbering the texts once more could number
     them otherwise.
 
-    A text's own row has a ``word`` that no text can hold, so a join on words leaves it alone.
+    A text's own row has a ``word`` that no text can hold, so a join on words leaves it alone; the others have no ``own``.
     """
     sent = shared(rows.sparkSession, model)
-    schema = pa.schema([("rid", pa.int64()), ("word", pa.binary()), ("class", pa.int32()), ("tf", pa.int64()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("train", pa.bool_())])
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -705,29 +703,23 @@ def _score_parts(rows: DataFrame, model: Model) -> DataFrame:
                 ]
                 own = rids[first:end]
                 rare = np.flatnonzero(numbers < 0)
-                owner = np.searchsorted(starts, rare, "right") - 1
+                owner = np.repeat(np.arange(len(sizes)), sizes)[rare]
                 with np.errstate(over="ignore"):
                     found, times = _grouped(words.hashes[rare] + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
                 rare, owner = rare[found], owner[found]
-                n = len(rare)
-                zeros = np.zeros(n)
+                texts = [pa.array(v) for v in (sizes, sums[0], sums[1] - sizes * log_all, sums[2])]
+                texts += [batch.column(c).slice(first, end - first) for c in (2, 3)]
+                texts = pa.StructArray.from_arrays(texts, names=["n_tokens", "known", "base", "score", "train", "doc_id"])
                 columns = [
-                    np.concatenate([own, own[owner]]),
-                    [b" %d" % r for r in own] + words.bytes_of(rare),
-                    np.concatenate([np.full(len(own), -1), classes[rare]]),
-                    np.concatenate([np.zeros(len(own), np.int64), times]),
-                    np.concatenate([sizes, zeros.astype(np.int64)]),
-                    np.concatenate([sums[0], zeros.astype(np.int64)]),
-                    np.concatenate([sums[1] - sizes * log_all, zeros]),
-                    np.concatenate([sums[2], zeros]),
+                    pa.array(np.concatenate([own, own[owner]])),
+                    pa.array([b" %d" % r for r in own] + words.bytes_of(rare), pa.binary()),
+                    pa.array(np.concatenate([np.full(len(own), -1), classes[rare]]), pa.int32()),
+                    pa.array(np.concatenate([np.zeros(len(own), np.int64), times])),
+                    pa.concat_arrays([texts, pa.nulls(len(rare), texts.type)]),
                 ]
-                columns.append(batch.column(2).slice(first, end - first).to_pylist() + [None] * n)
-                arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
-                own_ids = batch.column(3).slice(first, end - first)
-                arrays.append(pa.concat_arrays([own_ids, pa.nulls(n, own_ids.type)]))
-                yield pa.RecordBatch.from_arrays(arrays, names=[*schema.names, "doc_id"])
+                yield pa.RecordBatch.from_arrays(columns, names=["rid", "word", "class", "tf", "own"])
 
-    return rows.select("rid", "text", "train", "doc_id").mapInArrow(run, f"{_PARTS}, doc_id {id_type}")
+    return rows.select("rid", "text", "train", "doc_id").mapInArrow(run, _PARTS.format(id_type))
 
 
 def score_texts(df: DataFrame, train_on: Column, text: str = "text", id: str = "doc_id", steps: int = STEPS) -> DataFrame:
@@ -751,12 +743,12 @@ def score_texts(df: DataFrame, train_on: Column, text: str = "text", id: str = "
     rare = F.col("class") >= 0
     inside = F.when(tokens_ > 0, F.log10(p)).otherwise(0.0)
     sums = parts.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"),
-        (~F.max("train")).alias("held_out"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("known") + F.when(rare & (n > 0), F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.when(rare, F.col("tf") * F.log10(n + 1.0)).otherwise(0.0)).alias("base_score"),
-        F.sum(F.col("score") + F.when(rare, F.col("tf") * inside).otherwise(0.0)).alias("score"),
+        F.max("own.doc_id").alias("doc_id"),
+        (~F.max("own.train")).alias("held_out"),
+        F.sum("own.n_tokens").alias("n_tokens"),
+        F.sum(F.coalesce("own.known", F.lit(0)) + F.when(rare & (n > 0), F.col("tf")).otherwise(0)).alias("n_known"),
+        F.sum(F.coalesce("own.base", F.lit(0.0)) + F.when(rare, F.col("tf") * F.log10(n + 1.0)).otherwise(0.0)).alias("base_score"),
+        F.sum(F.coalesce("own.score", F.lit(0.0)) + F.when(rare, F.col("tf") * inside).otherwise(0.0)).alias("score"),
     )
     return sums.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score"
