@@ -478,7 +478,7 @@ def test_single_precision_gives_the_scores_of_double(spark, monkeypatch):
         monkeypatch.setattr(lm, "SINGLE_SPREAD", spread)
         found.append({r.doc_id: r.score for r in lm.score_texts(documents(spark, rows), F.col("doc_id") % 5 != 0, steps=8).collect()})
     assert found[0].keys() == found[1].keys()
-    assert max(abs(found[0][i] - found[1][i]) for i in found[0]) < 1e-2
+    assert max(abs(found[0][i] - found[1][i]) for i in found[0]) < 4e-6  # 1.4e-5 if rows are not scaled to their tokens
 
 
 # --- tokens -----------------------------------------------------------------------
