@@ -428,6 +428,18 @@ def test_words_and_their_hashes_are_those_of_the_texts():
             assert c == (number if 0 <= number < lm.SINGLES else lm.ending_class(w))
 
 
+def test_texts_without_words_are_learned_from_and_scored(spark):
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, "")]
+    found = {r.doc_id: r for r in lm.score_texts(documents(spark, rows), F.col("doc_id") < 4, steps=2).collect()}
+    assert found.keys() == {1, 2, 3, 4}
+    for r in found.values():
+        assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (1, 1, 3, r.doc_id == 4)
+        assert r.base_score == pytest.approx(math.log10(4 / 5))
+        assert r.score <= 0
+    mixed = {r.doc_id: r for r in lm.score_texts(documents(spark, [*rows, (5, "new words")]), F.col("doc_id") < 4, steps=2).collect()}
+    assert (mixed[5].n_tokens, mixed[5].n_known) == (3, 1)
+
+
 def test_contexts_are_counted_in_packed_buckets_as_in_rows(spark, monkeypatch):
     texts = spark.createDataFrame([(f"a b{i % 97} c{i % 5} a d{i % 3} e{i * i % 131}",) for i in range(900)], "t string").select(F.col("t").cast("binary").alias("text")).repartition(3)
     model, _ = lm.train(texts, steps=1)

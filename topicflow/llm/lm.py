@@ -253,8 +253,10 @@ class _Words:
         word = np.full(len(self.hashes), -1, np.int64)
         word[self.places] = np.arange(len(self.places))
         word, data = word[tokens_], self.data.tobytes()
-        starts, sizes = self.starts[word], self.word_sizes[word]
-        return [data[a : a + n] if w >= 0 else END for w, a, n in zip(word.tolist(), starts.tolist(), sizes.tolist())] if len(self.starts) else [END] * len(word)
+        out, held = [END] * len(word), np.flatnonzero(word >= 0)
+        for at, start, size in zip(held.tolist(), self.starts[word[held]].tolist(), self.word_sizes[word[held]].tolist()):
+            out[at] = data[start : start + size]
+        return out
 
 
 def context_rows(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
